@@ -62,7 +62,8 @@ pk0 AS (
     trim(r_arp_src_ip) AS arp_src_ip,
     lower(trim(r_arp_dst_mac)) AS arp_dst_mac,
     trim(r_arp_dst_ip) AS arp_dst_ip,
-    lower(trim(r_gratuitous)) IN ('true', '1', 'yes', 't', 'y') AS is_gratuitous
+    lower(trim(r_gratuitous)) IN ('true', '1', 'yes', 't', 'y') AS is_gratuitous,
+    r_gratuitous AS gratuitous_raw
   FROM raw
 ),
 pk AS (
@@ -105,7 +106,7 @@ def _sliding(where: str, size: int, slide: int) -> str:
 
 def sql_flood(cfg=CFG) -> str:
     w = cfg.flood_window
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS second, eth_src AS mac, count(*) AS requests_per_sec,
        count(DISTINCT arp_dst_ip) AS unique_targets,
        {ts('min(sec)')} AS second_start, {ts('max(sec)')} AS second_end
@@ -115,7 +116,7 @@ HAVING count(*) >= {cfg.flood_requests}"""
 
 
 def sql_scanning(cfg=CFG) -> str:
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {cfg.scan_window}')} AS window_end, eth_src AS scanner_mac,
        count(DISTINCT arp_dst_ip) AS unique_targets, count(*) AS total_requests,
        CAST(count(DISTINCT arp_dst_ip) AS INTEGER) AS targeted_ip_count,
@@ -128,7 +129,7 @@ HAVING count(DISTINCT arp_dst_ip) >= {cfg.scan_unique_targets}"""
 def sql_garp(cfg=CFG, window=None, min_count=None) -> str:
     w = cfg.garp_window if window is None else window
     thr = cfg.garp_count if min_count is None else min_count
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, eth_src AS mac,
        count(*) AS garp_count, CAST(count(DISTINCT arp_src_ip) AS INTEGER) AS claimed_ip_count,
        {ts('min(sec)')} AS first_garp, {ts('max(sec)')} AS last_garp
@@ -139,7 +140,7 @@ HAVING count(*) >= {thr}"""
 
 def sql_mac_flipping(cfg=CFG) -> str:
     w = cfg.impersonation_window
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, eth_src AS eth_mac,
        count(DISTINCT arp_src_mac) AS unique_arp_macs, count(DISTINCT arp_src_ip) AS unique_arp_ips,
        CAST(count(DISTINCT (arp_src_mac, arp_src_ip)) AS INTEGER) AS identity_count,
@@ -151,7 +152,7 @@ HAVING count(DISTINCT arp_src_mac) > 1"""
 
 def sql_ip_flipping(cfg=CFG) -> str:
     w = cfg.impersonation_window
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, eth_src AS mac,
        count(DISTINCT arp_src_ip) AS unique_src_ips, CAST(count(DISTINCT arp_src_ip) AS INTEGER) AS ip_count,
        count(*) AS packet_count, 'IP flipping' AS spoof_heuristic
@@ -162,7 +163,7 @@ HAVING count(DISTINCT arp_src_ip) >= {cfg.impersonation_ip_count}"""
 
 def sql_impersonation(cfg=CFG) -> str:
     w = cfg.impersonation_window
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, eth_src AS mac,
        count(DISTINCT arp_src_ip) AS unique_src_ips, count(DISTINCT arp_src_mac) AS unique_arp_macs,
        CAST(count(DISTINCT (arp_src_ip, arp_src_mac)) AS INTEGER) AS identity_count,
@@ -174,7 +175,7 @@ HAVING count(DISTINCT arp_src_ip) >= {cfg.impersonation_ip_count} OR count(DISTI
 
 def sql_conflict(cfg=CFG) -> str:
     w = cfg.conflict_window
-    return _with() + f"""
+    return f"""
 SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, arp_src_ip AS contested_ip,
        count(DISTINCT arp_src_mac) AS claiming_mac_count, CAST(count(DISTINCT arp_src_mac) AS INTEGER) AS mac_count,
        count(*) AS claim_count, 'IP conflict' AS conflict_type
@@ -184,19 +185,308 @@ HAVING count(DISTINCT arp_src_mac) > 1"""
 
 
 def sql_reply_mismatch(cfg=CFG) -> str:
-    return _with() + """
+    return """
 SELECT event_ts, eth_src AS real_mac, arp_src_mac AS claimed_mac, arp_src_ip AS claimed_ip,
        arp_dst_ip AS target_ip, 'Reply MAC mismatch' AS spoof_heuristic
 FROM pk WHERE is_reply AND has_mac_mismatch"""
 
 
+def sql_spoofed_requests(cfg=CFG) -> str:
+    return """
+SELECT event_ts, eth_src AS real_mac, arp_src_mac AS claimed_mac, arp_src_ip AS claimed_ip,
+       arp_dst_ip AS target_ip, 'Request MAC mismatch' AS spoof_heuristic
+FROM pk WHERE is_request AND has_mac_mismatch"""
+
+
+def sql_unsolicited(cfg=CFG) -> str:
+    L = cfg.unsolicited_lookback
+    return f"""
+SELECT r.event_ts AS time, r.eth_src AS mac, r.arp_src_ip AS ip, r.arp_src_mac AS advertised_mac,
+       'Unsolicited ARP reply' AS alert, 'No matching request in lookback window' AS reason
+FROM pk r
+WHERE r.is_reply AND NOT EXISTS (
+  SELECT 1 FROM pk q
+  WHERE q.is_request AND q.arp_dst_ip = r.arp_src_ip AND q.arp_src_ip = r.arp_dst_ip
+    AND q.sec <= r.sec AND r.sec <= q.sec + {L})"""
+
+
+def sql_unsolicited_by_mac(cfg=CFG) -> str:
+    L = cfg.unsolicited_mac_lookback
+    return f"""
+SELECT r.event_ts AS time, r.eth_src AS mac, r.arp_src_ip AS ip, r.arp_src_mac AS advertised_mac,
+       'Unsolicited ARP reply (MAC)' AS alert, 'No matching request in lookback window' AS reason
+FROM pk r
+WHERE r.is_reply AND NOT EXISTS (
+  SELECT 1 FROM pk q
+  WHERE q.is_request AND q.arp_dst_ip = r.arp_src_ip AND q.eth_src = r.arp_dst_mac
+    AND q.sec <= r.sec AND r.sec < q.sec + {L})"""
+
+
+def sql_request_reply_match(cfg=CFG) -> str:
+    L = cfg.unsolicited_lookback
+    return f"""
+SELECT r.event_ts AS time, r.eth_src AS mac, r.arp_src_ip AS ip, r.arp_dst_ip AS target_ip,
+       r.arp_src_mac AS advertised_mac, count(*) AS matching_requests,
+       {ts('min(q.sec)')} AS first_request_ts, {ts('max(q.sec)')} AS last_request_ts
+FROM (SELECT row_number() OVER () AS rid, * FROM pk WHERE is_reply) r
+JOIN pk q ON q.is_request AND q.arp_dst_ip = r.arp_src_ip AND q.arp_src_ip = r.arp_dst_ip
+         AND q.sec <= r.sec AND r.sec <= q.sec + {L}
+GROUP BY r.rid, r.event_ts, r.eth_src, r.arp_src_ip, r.arp_dst_ip, r.arp_src_mac"""
+
+
+def _dense(per: str) -> str:
+    return f"""(SELECT unnest(range(lo, hi + 1)) AS sec FROM (SELECT min(sec) AS lo, max(sec) AS hi FROM {per}))"""
+
+
+def sql_traffic_timeline(cfg=CFG) -> str:
+    per = """(SELECT sec, sum(CAST(is_request AS INTEGER)) AS requests, sum(CAST(is_reply AS INTEGER)) AS replies,
+       sum(CAST(is_gratuitous AS INTEGER)) AS garps FROM pk WHERE sec IS NOT NULL GROUP BY sec)"""
+    return f"""
+SELECT strftime({ts('s.sec')}, '%Y-%m-%d %H:%M:%S') AS second,
+       CAST(coalesce(p.requests, 0) AS BIGINT) AS requests, CAST(coalesce(p.replies, 0) AS BIGINT) AS replies,
+       CAST(coalesce(p.garps, 0) AS BIGINT) AS garps
+FROM {_dense(per)} s LEFT JOIN {per} p ON p.sec = s.sec"""
+
+
+def sql_packet_rate(cfg=CFG) -> str:
+    per = "(SELECT sec, count(*) AS packets FROM pk WHERE sec IS NOT NULL GROUP BY sec)"
+    return f"""
+SELECT {ts('min(sec)')} AS first_second, {ts('max(sec)')} AS last_second, count(*) AS span_seconds,
+       CAST(sum(packets) AS BIGINT) AS packets, CAST(sum(packets) AS DOUBLE) / count(*) AS mean_pps,
+       CAST(max(packets) AS BIGINT) AS peak_pps, count(*) FILTER (WHERE packets = 0) AS idle_seconds
+FROM (SELECT s.sec, coalesce(p.packets, 0) AS packets FROM {_dense(per)} s LEFT JOIN {per} p ON p.sec = s.sec)"""
+
+
+def sql_top_talkers(cfg=CFG) -> str:
+    return """
+SELECT eth_src, count(*) AS packet_count, count(DISTINCT arp_dst_ip) AS unique_targets
+FROM pk GROUP BY eth_src ORDER BY packet_count DESC, eth_src ASC NULLS FIRST LIMIT 10"""
+
+
+def sql_top_requesters(cfg=CFG) -> str:
+    return """
+SELECT eth_src, count(*) AS reqs FROM pk WHERE is_request
+GROUP BY eth_src ORDER BY reqs DESC, eth_src ASC NULLS FIRST LIMIT 10"""
+
+
+_OPCODE_LABEL = "CASE WHEN opcode = 1 THEN 'Request' WHEN opcode = 2 THEN 'Reply' ELSE 'Other' END"
+
+
+def sql_opcode_counts(cfg=CFG) -> str:
+    return "SELECT opcode, count(*) AS count FROM pk GROUP BY opcode"
+
+
+def sql_opcode_distribution(cfg=CFG) -> str:
+    return f"SELECT opcode, count(*) AS count, {_OPCODE_LABEL} AS type FROM pk GROUP BY opcode"
+
+
+def sql_packet_totals(cfg=CFG) -> str:
+    return """
+SELECT count(*) AS total, count(*) FILTER (WHERE is_request) AS requests,
+       count(*) FILTER (WHERE is_reply) AS replies, count(*) FILTER (WHERE is_gratuitous) AS garps FROM pk"""
+
+
+# Detector order, threat-weight names and the alert projection of each detector.
+_DETECTORS = (
+    ("scanning", "scanning"), ("garp", "garp"), ("spoof_reply_mismatch", "reply_mismatch"),
+    ("spoof_mac_flipping", "mac_flipping"), ("spoof_ip_flipping", "ip_flipping"), ("flood", "flood"),
+    ("unsolicited", "unsolicited"), ("impersonation", "impersonation"), ("conflict", "conflict"),
+)
+
+
+def _v(col: str) -> str:
+    return f"CAST({col} AS VARCHAR)"
+
+
+def sql_alerts(cfg=CFG) -> str:
+    parts = [
+        ("scanning", sql_scanning(cfg), "window_start", "scanner_mac", "unique_targets",
+         f"'requests=' || {_v('total_requests')}"),
+        ("garp", sql_garp(cfg), "window_start", "mac", "garp_count", f"'claimed_ips=' || {_v('claimed_ip_count')}"),
+        ("spoof_reply_mismatch", sql_reply_mismatch(cfg), "event_ts", "real_mac", "1",
+         f"'claimed_mac=' || {_v('claimed_mac')} || ' claimed_ip=' || {_v('claimed_ip')}"),
+        ("spoof_mac_flipping", sql_mac_flipping(cfg), "window_start", "eth_mac", "unique_arp_macs",
+         f"'arp_ips=' || {_v('unique_arp_ips')}"),
+        ("spoof_ip_flipping", sql_ip_flipping(cfg), "window_start", "mac", "unique_src_ips",
+         f"'packets=' || {_v('packet_count')}"),
+        ("flood", sql_flood(cfg), "second", "mac", "requests_per_sec", f"'unique_targets=' || {_v('unique_targets')}"),
+        ("unsolicited", sql_unsolicited(cfg), "time", "mac", "1",
+         f"'ip=' || {_v('ip')} || ' advertised_mac=' || {_v('advertised_mac')}"),
+        ("impersonation", sql_impersonation(cfg), "window_start", "mac", "unique_src_ips",
+         f"'arp_macs=' || {_v('unique_arp_macs')} || ' identities=' || {_v('identity_count')}"),
+        ("conflict", sql_conflict(cfg), "window_start", "contested_ip", "claiming_mac_count",
+         f"'claims=' || {_v('claim_count')}"),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS detector, {t} AS ts, {e} AS entity, CAST({m} AS BIGINT) AS metric, {d} AS detail "
+        f"FROM ({body}) x_{name}" for name, body, t, e, m, d in parts)
+
+
+def _summary_cte(cfg=CFG) -> str:
+    vals = ", ".join(f"('{n}', {int(cfg.threat_weights[w])})" for n, w in _DETECTORS)
+    return (f"a AS ({sql_alerts(cfg)}),\n d(detector, weight) AS (VALUES {vals}),\n"
+            " sm AS (SELECT d.detector, d.weight, count(a.detector) AS detections "
+            "FROM d LEFT JOIN a ON a.detector = d.detector GROUP BY d.detector, d.weight)")
+
+
+def sql_detection_summary(cfg=CFG) -> str:
+    return "SELECT detector, detections FROM sm"
+
+
+def sql_detection_status(cfg=CFG) -> str:
+    return "SELECT detector, detections, CASE WHEN detections > 0 THEN 'ALERT' ELSE 'Clean' END AS status FROM sm"
+
+
+def sql_threat_score(cfg=CFG) -> str:
+    return f"""
+SELECT threat_score,
+       CASE WHEN threat_score < 25 THEN 'LOW' WHEN threat_score < 60 THEN 'ELEVATED' ELSE 'CRITICAL' END AS threat_level,
+       detectors_firing
+FROM (SELECT CAST(least(sum(CASE WHEN detections > 0 THEN weight ELSE 0 END), {cfg.threat_cap}) AS INTEGER) AS threat_score,
+             CAST(sum(CASE WHEN detections > 0 THEN 1 ELSE 0 END) AS INTEGER) AS detectors_firing FROM sm)"""
+
+
+def sql_spoofing_summary(cfg=CFG) -> str:
+    return ("SELECT detector, detections FROM sm WHERE detector IN "
+            "('spoof_reply_mismatch', 'spoof_mac_flipping', 'spoof_ip_flipping')")
+
+
+_BINDING = ("arp_src_mac IS NOT NULL AND arp_src_mac <> '00:00:00:00:00:00' "
+            "AND arp_src_ip IS NOT NULL AND arp_src_ip <> '0.0.0.0'")
+
+
+def sql_mac_inventory(cfg=CFG) -> str:
+    return f"""
+SELECT arp_src_mac AS mac, count(DISTINCT arp_src_ip) AS ip_count, count(*) AS packets,
+       min(event_ts) AS first_seen, max(event_ts) AS last_seen
+FROM pk WHERE {_BINDING} GROUP BY arp_src_mac"""
+
+
+def sql_ip_inventory(cfg=CFG) -> str:
+    return f"""
+SELECT arp_src_ip AS ip, count(DISTINCT arp_src_mac) AS mac_count, count(*) AS packets,
+       min(event_ts) AS first_seen, max(event_ts) AS last_seen
+FROM pk WHERE {_BINDING} GROUP BY arp_src_ip"""
+
+
+def _remaps() -> str:
+    return f"""(SELECT * FROM (
+  SELECT event_ts, sec, arp_src_ip AS ip, arp_src_mac AS new_mac, eth_src,
+         lag(arp_src_mac) OVER (PARTITION BY arp_src_ip ORDER BY epoch_ts, arp_src_mac) AS previous_mac
+  FROM pk WHERE (is_reply OR is_gratuitous) AND {_BINDING} AND epoch_ts IS NOT NULL AND sec IS NOT NULL)
+ WHERE previous_mac IS NOT NULL AND previous_mac <> new_mac)"""
+
+
+def sql_ip_mac_remap(cfg=CFG) -> str:
+    return f"SELECT event_ts, ip, previous_mac, new_mac, eth_src, 'IP-MAC remap' AS heuristic FROM {_remaps()}"
+
+
+def sql_mac_flap(cfg=CFG) -> str:
+    w = cfg.mac_flap_window
+    return f"""
+SELECT {ts('ws')} AS window_start, {ts(f'ws + {w}')} AS window_end, ip, count(*) AS mac_changes,
+       count(DISTINCT new_mac) AS distinct_new_macs
+FROM (SELECT r.*, (sec // {w}) * {w} AS ws FROM {_remaps()} r)
+GROUP BY ws, ip HAVING count(*) > {cfg.mac_flap_changes}"""
+
+
+def sql_mac_features(cfg=CFG) -> str:
+    w = cfg.feature_window
+    return f"""
+SELECT {ts('ws')} AS window_start, eth_src, count(*) AS packets,
+       count(*) FILTER (WHERE is_request) AS requests, count(*) FILTER (WHERE is_reply) AS replies,
+       count(*) FILTER (WHERE is_gratuitous) AS garps,
+       count(DISTINCT arp_dst_ip) FILTER (WHERE is_request) AS unique_targets,
+       count(DISTINCT arp_src_ip) AS unique_src_ips,
+       CAST(count(*) FILTER (WHERE is_reply) AS DOUBLE)
+         / CAST(greatest(count(*) FILTER (WHERE is_request), 1) AS DOUBLE) AS reply_request_ratio
+FROM {_tumbling('true', w)} t GROUP BY ws, eth_src"""
+
+
+def sql_window_tumbling_counts(cfg=CFG) -> str:
+    return f"""SELECT {ts('ws')} AS window_start, {ts('ws + 10')} AS window_end, eth_src, count(*) AS packets
+FROM {_tumbling('true', 10)} t GROUP BY ws, eth_src"""
+
+
+def sql_window_sliding_counts(cfg=CFG) -> str:
+    return f"""SELECT {ts('ws')} AS window_start, {ts('ws + 10')} AS window_end, eth_src, count(*) AS packets
+FROM {_sliding('true', 10, 5)} t GROUP BY ws, eth_src"""
+
+
+def sql_window_distinct_targets(cfg=CFG) -> str:
+    return f"""SELECT {ts('ws')} AS window_start, eth_src, count(DISTINCT arp_dst_ip) AS distinct_targets,
+       count(*) AS requests FROM {_tumbling('is_request', 10)} t GROUP BY ws, eth_src"""
+
+
+def sql_window_identity_pairs(cfg=CFG) -> str:
+    return f"""SELECT {ts('ws')} AS window_start, eth_src,
+       CAST(count(DISTINCT (arp_src_ip, arp_src_mac)) AS INTEGER) AS identity_count
+FROM {_tumbling('true', 30)} t GROUP BY ws, eth_src"""
+
+
+def sql_window_first_last(cfg=CFG) -> str:
+    return f"""SELECT {ts('ws')} AS window_start, eth_src, {ts('min(sec)')} AS first_ts, {ts('max(sec)')} AS last_ts
+FROM {_tumbling('true', 10)} t GROUP BY ws, eth_src"""
+
+
+def _full(body: str, *ctes: str) -> str:
+    return _with(*ctes) + body
+
+
+ENRICHED = _full(ENRICHED_SELECT)
+RAW = _full(RAW_SELECT)
+
 ORACLES: dict[str, str] = {
-    "normalize_packets": _with() + ENRICHED_SELECT,
-    "scanning": sql_scanning(),
-    "garp": sql_garp(),
-    "flood": sql_flood(),
-    "impersonation": sql_impersonation(),
-    "conflict": sql_conflict(),
-    "spoof_mac_flipping": sql_mac_flipping(),
-    "spoof_ip_flipping": sql_ip_flipping(),
+    # sources and normalisation
+    "src_csv_batch": RAW,
+    "src_json_decode": RAW,
+    "src_csv_stream": ENRICHED,
+    "archive_roundtrip": ENRICHED,
+    "normalize_packets": ENRICHED,
+    "normalize_event_time": _full("SELECT epoch_ts, event_ts FROM pk"),
+    "normalize_gratuitous": _full("SELECT epoch_ts, gratuitous_raw, is_gratuitous FROM pk"),
+    "packet_flags": _full("SELECT epoch_ts, is_broadcast, is_request, is_reply, has_mac_mismatch FROM pk"),
+    # detectors
+    "scanning": _full(sql_scanning()),
+    "garp": _full(sql_garp()),
+    "flood": _full(sql_flood()),
+    "impersonation": _full(sql_impersonation()),
+    "conflict": _full(sql_conflict()),
+    "spoof_mac_flipping": _full(sql_mac_flipping()),
+    "spoof_ip_flipping": _full(sql_ip_flipping()),
+    "spoof_reply_mismatch": _full(sql_reply_mismatch()),
+    "unsolicited": _full(sql_unsolicited()),
+    "unsolicited_asof": _full(sql_unsolicited()),
+    "request_reply_match": _full(sql_request_reply_match()),
+    # aggregate primitives
+    "window_tumbling_counts": _full(sql_window_tumbling_counts()),
+    "window_sliding_counts": _full(sql_window_sliding_counts()),
+    "window_distinct_targets": _full(sql_window_distinct_targets()),
+    "window_identity_pairs": _full(sql_window_identity_pairs()),
+    "window_first_last": _full(sql_window_first_last()),
+    # traffic profile
+    "traffic_timeline": _full(sql_traffic_timeline()),
+    "top_talkers": _full(sql_top_talkers()),
+    "opcode_counts": _full(sql_opcode_counts()),
+    "opcode_distribution": _full(sql_opcode_distribution()),
+    "packet_totals": _full(sql_packet_totals()),
+    "packet_rate": _full(sql_packet_rate()),
+    "top_requesters": _full(sql_top_requesters()),
+    # reports
+    "alerts_unified": _full(sql_alerts()),
+    "detection_summary": _full(sql_detection_summary(), _summary_cte()),
+    "detection_status": _full(sql_detection_status(), _summary_cte()),
+    "threat_score": _full(sql_threat_score(), _summary_cte()),
+    "spoofing_summary": _full(sql_spoofing_summary(), _summary_cte()),
+    # documented rules
+    "spoofed_requests": _full(sql_spoofed_requests()),
+    "garp_storm": _full(sql_garp(window=CFG.garp_storm_window, min_count=CFG.garp_storm_threshold + 1)),
+    "unsolicited_by_mac": _full(sql_unsolicited_by_mac()),
+    "ip_mac_remap": _full(sql_ip_mac_remap()),
+    "mac_flap": _full(sql_mac_flap()),
+    "mac_inventory": _full(sql_mac_inventory()),
+    "ip_inventory": _full(sql_ip_inventory()),
+    "mac_features": _full(sql_mac_features()),
+    "sql_conflict": _full(sql_conflict()),
 }
+ORACLES = {k: v for k, v in ORACLES.items() if v is not None}

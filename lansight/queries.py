@@ -3,7 +3,9 @@
 Every query starts from the ``events`` table of an sf folder, derives the raw
 packet table from it (``sources.events_adapter``), normalises it and runs one
 operator.  Results pass through ``at_boundary`` so timestamps compare equal to
-the DuckDB oracle whatever the session time zone is.
+the DuckDB oracle whatever the session time zone is.  Queries that exercise a
+file source or sink write their staging files under the shared checkpoint
+folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -12,10 +14,13 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 from lansight.config import DEFAULT
-from lansight.functions.normalize import enrich
-from lansight.operators import rules
-from lansight.session import at_boundary
+from lansight.functions.normalize import enrich, gratuitous_flag, raw
+from lansight.operators import events, features, history, inventory, joins, rules, traffic
+from lansight.plans import batch, report, sql
+from lansight.session import at_boundary, scratch_path
+from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,12 +33,64 @@ def packets(spark: SparkSession, sf_dir: str, cfg=DEFAULT) -> DataFrame:
 def _on_packets(op) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return at_boundary(op(packets(spark, sf_dir)))
-    run.__name__ = getattr(op, "__name__", "query")
     return run
 
 
+def _on_alerts(op) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return at_boundary(op(batch.run_batch(packets(spark, sf_dir)).alerts))
+    return run
+
+
+# --- sources ----------------------------------------------------------------
+
+def q_src_csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "csv-batch")
+    csv.write_csv(raw_packets(spark, sf_dir), path)
+    return csv.read_csv_batch(spark, path)
+
+
+def q_src_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages.decode_packets(messages.encode_packets(raw_packets(spark, sf_dir)))
+
+
+def q_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    archive.write_archive(raw_packets(spark, sf_dir), path)
+    return at_boundary(enrich(archive.read_archive(spark, path)))
+
+
+def q_normalize_gratuitous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = raw_packets(spark, sf_dir)
+    return r.select(raw("frame.time_epoch").alias("epoch_ts"), raw("arp.isgratuitous").alias("gratuitous_raw"),
+                    gratuitous_flag(raw("arp.isgratuitous")).alias("is_gratuitous"))
+
+
+def q_scanning_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lansight.operators.windows import compile_stream
+    # approx_count_distinct in place of the exact distinct (HyperLogLog++ sketches merge map-side)
+    return at_boundary(compile_stream(packets(spark, sf_dir), rules.scanning_rule(DEFAULT), approx_distinct=True))
+
+
+def q_sql_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_boundary(sql.sql_conflict(packets(spark, sf_dir)))
+
+
+def q_mac_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_boundary(features.mac_outliers(packets(spark, sf_dir)))
+
+
 QUERIES: dict[str, QueryFn] = {
+    # sources and normalisation
+    "src_csv_batch": q_src_csv_batch,
+    "src_json_decode": q_src_json_decode,
+    "archive_roundtrip": q_archive_roundtrip,
     "normalize_packets": _on_packets(lambda p: p),
+    "normalize_event_time": _on_packets(lambda p: p.select("epoch_ts", "event_ts")),
+    "normalize_gratuitous": q_normalize_gratuitous,
+    "packet_flags": _on_packets(lambda p: p.select("epoch_ts", "is_broadcast", "is_request", "is_reply",
+                                                   "has_mac_mismatch")),
+    # the nine detectors
     "scanning": _on_packets(rules.detect_scanning),
     "garp": _on_packets(rules.detect_garp),
     "flood": _on_packets(rules.detect_flood),
@@ -41,4 +98,42 @@ QUERIES: dict[str, QueryFn] = {
     "conflict": _on_packets(rules.detect_conflicts),
     "spoof_mac_flipping": _on_packets(rules.detect_mac_flipping),
     "spoof_ip_flipping": _on_packets(rules.detect_ip_flipping),
+    "spoof_reply_mismatch": _on_packets(events.detect_reply_mismatch),
+    "unsolicited": _on_packets(joins.detect_unsolicited),
+    "unsolicited_asof": _on_packets(lambda p: joins.detect_unsolicited(p, method="asof")),
+    "request_reply_match": _on_packets(joins.request_reply_match),
+    # aggregate primitives alone, no threshold
+    "window_tumbling_counts": _on_packets(rules.window_tumbling_counts),
+    "window_sliding_counts": _on_packets(rules.window_sliding_counts),
+    "window_distinct_targets": _on_packets(rules.window_distinct_targets),
+    "window_identity_pairs": _on_packets(rules.window_identity_pairs),
+    "window_first_last": _on_packets(rules.window_first_last),
+    # traffic profile
+    "traffic_timeline": _on_packets(traffic.traffic_timeline),
+    "top_talkers": _on_packets(traffic.top_talkers),
+    "opcode_counts": _on_packets(traffic.opcode_counts),
+    "opcode_distribution": _on_packets(traffic.opcode_distribution),
+    "packet_totals": _on_packets(traffic.packet_totals),
+    "packet_rate": _on_packets(traffic.packet_rate),
+    "top_requesters": _on_packets(traffic.top_requesters),
+    # reports over all detectors
+    "alerts_unified": _on_alerts(lambda a: a),
+    "detection_summary": _on_alerts(report.detection_summary),
+    "detection_status": _on_alerts(report.detection_status),
+    "threat_score": _on_alerts(report.threat_score),
+    "spoofing_summary": _on_alerts(report.spoofing_summary),
+    "alerts_json": _on_alerts(report.alerts_json),
+    # rules described in the reference's documents
+    "spoofed_requests": _on_packets(events.detect_spoofed_requests),
+    "garp_storm": _on_packets(rules.detect_garp_storm),
+    "unsolicited_by_mac": _on_packets(joins.detect_unsolicited_by_mac),
+    "ip_mac_remap": _on_packets(history.ip_mac_remap),
+    "mac_flap": _on_packets(history.mac_flap),
+    "mac_inventory": _on_packets(inventory.mac_inventory),
+    "ip_inventory": _on_packets(inventory.ip_inventory),
+    "mac_features": _on_packets(features.mac_features),
+    "mac_outliers": q_mac_outliers,
+    "scanning_approx": q_scanning_approx,
+    "sql_conflict": q_sql_conflict,
 }
+
