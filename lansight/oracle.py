@@ -488,5 +488,16 @@ ORACLES: dict[str, str] = {
     "ip_inventory": _full(sql_ip_inventory()),
     "mac_features": _full(sql_mac_features()),
     "sql_conflict": _full(sql_conflict()),
+    # streaming: the stateful stream gives the batch answer
+    "sink_parquet_roundtrip": ENRICHED,
+    "stream_scanning": _full(sql_scanning()),
+    "stream_garp": _full(sql_garp()),
+    "stream_flood": _full(sql_flood()),
+    "stream_mac_flipping": _full(sql_mac_flipping()),
+    "stream_ip_flipping": _full(sql_ip_flipping()),
+    "stream_impersonation": _full(sql_impersonation()),
+    "stream_conflict": _full(sql_conflict()),
+    "stream_reply_mismatch": _full(sql_reply_mismatch()),
+    "stream_unsolicited": _full(sql_unsolicited()),
 }
 ORACLES = {k: v for k, v in ORACLES.items() if v is not None}

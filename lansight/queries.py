@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 from lansight.config import DEFAULT
@@ -137,3 +138,72 @@ QUERIES: dict[str, QueryFn] = {
     "sql_conflict": q_sql_conflict,
 }
 
+
+
+# --- streaming ----------------------------------------------------------------
+
+def _stream_query(name: str, build) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from lansight.streaming.runner import replay
+        out, _ = replay(spark, raw_packets(spark, sf_dir), build, name)
+        return at_boundary(out)
+    return run
+
+
+def _stream_rule(rule_fn) -> QueryFn:
+    from lansight.streaming.compile import packet_stream, stream_rule
+    return _stream_query(rule_fn(DEFAULT).name, lambda s: stream_rule(packet_stream(s), rule_fn(DEFAULT)))
+
+
+def q_src_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lansight.streaming.runner import replay
+    out, _ = replay(spark, raw_packets(spark, sf_dir), lambda s: s, "csv-stream")
+    return at_boundary(enrich(out))
+
+
+def q_sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lansight.schema import ENRICHED_COLUMNS
+    from lansight.streaming.compile import packet_stream
+    from lansight.streaming.runner import replay
+
+    def build(s):
+        p = enrich(s)
+        return p.withColumn("date", F.date_from_unix_date(
+            F.floor(F.unix_seconds(F.col("event_ts")) / 86400).cast("int")).cast("string"))
+    _ = packet_stream
+    out, _rp = replay(spark, raw_packets(spark, sf_dir), build, "sink-parquet", partition_by=("date",))
+    return at_boundary(out.select(*ENRICHED_COLUMNS))
+
+
+def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lansight.streaming.runner import microbatch_alerts
+    root = scratch_path(spark, "stream-microbatch")
+    # contiguous time ranges per file, like a rolling capture; one file per micro-batch
+    raw = raw_packets(spark, sf_dir)
+    csv.write_csv(raw.repartitionByRange(8, raw["`frame.time_epoch`"]), f"{root}/inbox")
+    q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
+                          f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    return at_boundary(spark.read.parquet(f"{root}/out"))
+
+
+def _register_streaming() -> None:
+    from lansight.streaming.compile import packet_stream, stream_reply_mismatch, stream_unsolicited
+
+    QUERIES.update({
+        "src_csv_stream": q_src_csv_stream,
+        "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
+        "stream_scanning": _stream_rule(rules.scanning_rule),
+        "stream_garp": _stream_rule(rules.garp_rule),
+        "stream_flood": _stream_rule(rules.flood_rule),
+        "stream_mac_flipping": _stream_rule(rules.mac_flipping_rule),
+        "stream_ip_flipping": _stream_rule(rules.ip_flipping_rule),
+        "stream_impersonation": _stream_rule(rules.impersonation_rule),
+        "stream_conflict": _stream_rule(rules.conflict_rule),
+        "stream_reply_mismatch": _stream_query("reply-mismatch", lambda s: stream_reply_mismatch(packet_stream(s))),
+        "stream_unsolicited": _stream_query("unsolicited", lambda s: stream_unsolicited(packet_stream(s))),
+        "stream_microbatch": q_stream_microbatch,
+    })
+
+
+_register_streaming()

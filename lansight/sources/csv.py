@@ -28,9 +28,11 @@ def read_csv_stream(spark: SparkSession, path: str, cfg: ArpConfig = DEFAULT,
                     max_files_per_trigger: int | None = None, keep_corrupt: bool = False) -> DataFrame:
     """The same folder as a stream of new ``*.csv`` files, taken in
     modification-time order, ``max_files_per_trigger`` per micro-batch."""
-    r = (spark.readStream
-         .option("maxFilesPerTrigger", max_files_per_trigger or cfg.max_files_per_trigger)
-         .option("pathGlobFilter", "*.csv")
+    mf = cfg.max_files_per_trigger if max_files_per_trigger is None else max_files_per_trigger
+    r = spark.readStream
+    if mf:  # 0 = no limit: every new file in one micro-batch
+        r = r.option("maxFilesPerTrigger", mf)
+    r = (r.option("pathGlobFilter", "*.csv")
          .option("recursiveFileLookup", "false")
          .option("ignoreLeadingWhiteSpace", "true")
          .option("ignoreTrailingWhiteSpace", "true"))
