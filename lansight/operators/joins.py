@@ -9,6 +9,13 @@ A reply is *solicited* when a request of the reversed IP pair was seen at most
   join.  No range residual, no nested loop, at most one build row per key, and
   the key includes time, so a hot IP pair is spread over its seconds (AQE's
   skew-join split still applies to a hot second on the reply side).
+* ``bitmask`` (whole-second event time, the default): seconds are grouped in
+  fixed buckets of ``W`` <= 62 seconds; a request sets the bits of the seconds it
+  covers in the (at most two) buckets it reaches, and ``bit_or`` folds all
+  requests of a pair and bucket into one row, map-side.  A reply then needs one
+  equi ``left_anti`` probe on (pair, bucket) with a one-bit residual.  The
+  request side shrinks to one row per active (pair, bucket) whatever the request
+  rate, so a flood costs nothing extra.
 * ``asof`` (any precision): requests and replies of a pair are unioned and
   partitioned by (pair, time bucket); the latest request at or before each
   reply comes from a running ``max`` over a RANGE frame.  Requests are copied
@@ -81,6 +88,46 @@ def unsolicited_covered(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     return _unsolicited_out(_anti_covered(_replies(df), cov, "rep_dst_ip"))
 
 
+def covered_request_buckets(df: DataFrame, lookback: int, inclusive: bool = True,
+                            requester: str | None = None, width: int = 60) -> DataFrame:
+    """(reply-side key, bucket, bitmask of covered seconds) for every request.
+
+    Key columns as in ``covered_request_seconds``; ``bucket`` = second // width;
+    bit ``i`` of ``mask`` = second ``bucket * width + i`` is covered."""
+    span = lookback if inclusive else lookback - 1
+    if width > 62 or width < span + 1:
+        raise ValueError("bucket width must be in [lookback + 1, 62]")
+    sec = F.unix_seconds(c("event_ts"))
+    other = c(requester) if requester else c("arp_src_ip")
+    base = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & other.isNotNull() & c("event_ts").isNotNull())
+            .select(c("arp_dst_ip").alias("k_src_ip"), other.alias("k_dst"), sec.alias("s")))
+    per_bucket = base.select(
+        "k_src_ip", "k_dst", "s",
+        F.explode(F.array_distinct(F.array(F.floor(c("s") / width), F.floor((c("s") + span) / width)))).alias("bucket"))
+    lo = (F.greatest(c("s"), c("bucket") * width) - c("bucket") * width).cast("int")
+    hi = (F.least(c("s") + span, c("bucket") * width + (width - 1)) - c("bucket") * width).cast("int")
+    bits = per_bucket.select("k_src_ip", "k_dst", "bucket", lo.alias("lo"), hi.alias("hi")).select(
+        "k_src_ip", "k_dst", "bucket",
+        F.expr("shiftleft(CAST(1 AS BIGINT), hi + 1) - shiftleft(CAST(1 AS BIGINT), lo)").alias("m"))
+    return bits.groupBy("k_src_ip", "k_dst", "bucket").agg(F.bit_or("m").alias("mask"))
+
+
+def _anti_bitmask(rep: DataFrame, cov: DataFrame, rep_dst: str, width: int) -> DataFrame:
+    r = F.unix_seconds(c("rep_ts"))
+    rep = rep.withColumn("_bucket", F.floor(r / width)).withColumn("_bit", (r - F.floor(r / width) * width).cast("int"))
+    cond = ((rep["rep_src_ip"] == cov["k_src_ip"]) & (rep[rep_dst] == cov["k_dst"])
+            & (rep["_bucket"] == cov["bucket"]) & (F.expr("shiftright(mask, _bit) & 1") == 1))
+    return rep.join(cov, cond, "left_anti").drop("_bucket", "_bit")
+
+
+def unsolicited_bitmask(df: DataFrame, cfg: ArpConfig = DEFAULT, width: int = 60) -> DataFrame:
+    if cfg.time_precision != "seconds":
+        raise ValueError("the bitmask plan needs whole-second event time; use method='asof'")
+    width = max(width, cfg.unsolicited_lookback + 1)
+    cov = covered_request_buckets(df, cfg.unsolicited_lookback, width=width)
+    return _unsolicited_out(_anti_bitmask(_replies(df), cov, "rep_dst_ip", width))
+
+
 def unsolicited_asof(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int | None = None) -> DataFrame:
     lb_us = cfg.unsolicited_lookback * 1_000_000
     b_us = max(bucket_seconds or 4 * cfg.unsolicited_lookback, cfg.unsolicited_lookback, 1) * 1_000_000
@@ -113,7 +160,11 @@ def unsolicited_asof(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: in
 
 def detect_unsolicited(df: DataFrame, cfg: ArpConfig = DEFAULT, method: str | None = None) -> DataFrame:
     """Replies with no matching request in the look-back window."""
-    method = method or ("covered" if cfg.time_precision == "seconds" else "asof")
+    if method is None:
+        fits = cfg.unsolicited_lookback + 1 <= 62
+        method = "bitmask" if cfg.time_precision == "seconds" and fits else "asof"
+    if method == "bitmask":
+        return unsolicited_bitmask(df, cfg)
     if method == "covered":
         return unsolicited_covered(df, cfg)
     if method == "asof":
@@ -124,8 +175,11 @@ def detect_unsolicited(df: DataFrame, cfg: ArpConfig = DEFAULT, method: str | No
 def detect_unsolicited_by_mac(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     """No request from the reply's target MAC for the reply's sender IP within
     ``unsolicited_mac_lookback`` seconds before it (strict)."""
-    cov = covered_request_seconds(df, cfg.unsolicited_mac_lookback, inclusive=False, requester="eth_src")
-    return _unsolicited_out(_anti_covered(_replies(df), cov, "rep_dst_mac"), alert="Unsolicited ARP reply (MAC)")
+    if cfg.time_precision != "seconds":
+        raise ValueError("unsolicited_by_mac needs whole-second event time")
+    width = max(60, cfg.unsolicited_mac_lookback)
+    cov = covered_request_buckets(df, cfg.unsolicited_mac_lookback, inclusive=False, requester="eth_src", width=width)
+    return _unsolicited_out(_anti_bitmask(_replies(df), cov, "rep_dst_mac", width), alert="Unsolicited ARP reply (MAC)")
 
 
 def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
