@@ -48,7 +48,8 @@ raw AS (
     CASE WHEN event_id % 7 = 0 THEN upper(CASE WHEN rep THEN m_eth_dst ELSE '00:00:00:00:00:00' END)
          ELSE CASE WHEN rep THEN m_eth_dst ELSE '00:00:00:00:00:00' END END AS r_arp_dst_mac,
     '192.168.1.' || CAST(d AS VARCHAR) AS r_arp_dst_ip,
-    CASE WHEN garp THEN (['True', ' TRUE ', '1', 'yes'])[event_id % 4 + 1] END AS r_gratuitous
+    CASE WHEN garp THEN (['True', ' TRUE ', '1', 'yes'])[event_id % 4 + 1] END AS r_gratuitous,
+    event_id
   FROM ev3
 ),
 pk0 AS (
@@ -94,6 +95,17 @@ RAW_SELECT = """SELECT epoch AS "frame.time_epoch", r_eth_src AS "eth.src", r_et
 FROM raw"""
 
 
+MALFORMED_SELECT = """SELECT
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE epoch END AS "frame.time_epoch",
+  r_eth_src AS "eth.src", r_eth_dst AS "eth.dst", r_opcode AS "arp.opcode", r_arp_src_mac AS "arp.src.hw_mac",
+  r_arp_src_ip AS "arp.src.proto_ipv4",
+  CASE WHEN event_id % 13 <> 0 AND event_id % 17 = 0 THEN NULL ELSE r_arp_dst_mac END AS "arp.dst.hw_mac",
+  CASE WHEN event_id % 13 <> 0 AND event_id % 17 = 0 THEN NULL ELSE r_arp_dst_ip END AS "arp.dst.proto_ipv4",
+  CASE WHEN event_id % 13 <> 0 AND event_id % 17 = 0 THEN NULL ELSE r_gratuitous END AS "arp.isgratuitous",
+  event_id % 13 = 0 OR event_id % 17 = 0 AS is_corrupt
+FROM raw"""
+
+
 def _tumbling(where: str, size: int) -> str:
     return f"(SELECT pk.*, (sec // {size}) * {size} AS ws FROM pk WHERE sec IS NOT NULL AND ({where}))"
 
@@ -440,6 +452,7 @@ ORACLES: dict[str, str] = {
     # sources and normalisation
     "src_csv_batch": RAW,
     "src_json_decode": RAW,
+    "src_malformed": _full(MALFORMED_SELECT),
     "src_csv_stream": ENRICHED,
     "archive_roundtrip": ENRICHED,
     "normalize_packets": ENRICHED,

@@ -51,6 +51,26 @@ def q_src_csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_csv_batch(spark, path)
 
 
+def q_src_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture lines with broken fields are kept, broken fields become null and
+    the line is flagged.  Lines are rendered from the packets; every 13th packet
+    gets an unparsable time, every 17th loses its last three fields."""
+    from lansight.schema import CORRUPT_COLUMN, RAW_COLUMNS
+    from lansight.sources.events_adapter import BASE_EPOCH, PACKETS_PER_SECOND
+
+    r = raw_packets(spark, sf_dir)
+    eid = F.round((raw("frame.time_epoch") - F.lit(float(BASE_EPOCH))) * PACKETS_PER_SECOND).cast("bigint")
+    fields = [F.coalesce(raw(n).cast("string"), F.lit("")) for n in RAW_COLUMNS]
+    bad_time = F.concat(F.lit("x"), fields[0])
+    line = (F.when(eid % 13 == 0, F.concat_ws(",", bad_time, *fields[1:]))
+            .when(eid % 17 == 0, F.concat_ws(",", *fields[:6]))
+            .otherwise(F.concat_ws(",", *fields)))
+    path = scratch_path(spark, "malformed")
+    r.select(line.alias("value")).write.text(path)
+    back = csv.read_csv_batch(spark, path, keep_corrupt=True, header=False)
+    return back.select(*[raw(n) for n in RAW_COLUMNS], F.col(CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
+
+
 def q_src_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.decode_packets(messages.encode_packets(raw_packets(spark, sf_dir)))
 
@@ -85,6 +105,7 @@ QUERIES: dict[str, QueryFn] = {
     # sources and normalisation
     "src_csv_batch": q_src_csv_batch,
     "src_json_decode": q_src_json_decode,
+    "src_malformed": q_src_malformed,
     "archive_roundtrip": q_archive_roundtrip,
     "normalize_packets": _on_packets(lambda p: p),
     "normalize_event_time": _on_packets(lambda p: p.select("epoch_ts", "event_ts")),

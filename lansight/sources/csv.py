@@ -9,8 +9,8 @@ from lansight.config import DEFAULT, ArpConfig
 from lansight.schema import CORRUPT_COLUMN, RAW_SCHEMA, RAW_SCHEMA_WITH_CORRUPT
 
 
-def _reader(r, keep_corrupt: bool):
-    r = r.option("header", "true").option("mode", "PERMISSIVE")
+def _reader(r, keep_corrupt: bool, header: bool = True):
+    r = r.option("header", str(header).lower()).option("mode", "PERMISSIVE")
     if keep_corrupt:
         r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(RAW_SCHEMA_WITH_CORRUPT)
     else:
@@ -18,10 +18,10 @@ def _reader(r, keep_corrupt: bool):
     return r
 
 
-def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False, header: bool = True) -> DataFrame:
     """A folder (or glob) of capture CSV files.  Bad or missing fields become
     null and the row is kept; ``keep_corrupt`` adds the offending line text (S6)."""
-    return _reader(spark.read, keep_corrupt).csv(path)
+    return _reader(spark.read, keep_corrupt, header).csv(path)
 
 
 def read_csv_stream(spark: SparkSession, path: str, cfg: ArpConfig = DEFAULT,
