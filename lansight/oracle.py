@@ -512,5 +512,6 @@ ORACLES: dict[str, str] = {
     "stream_conflict": _full(sql_conflict()),
     "stream_reply_mismatch": _full(sql_reply_mismatch()),
     "stream_unsolicited": _full(sql_unsolicited()),
+    "stream_ip_mac_remap": _full(sql_ip_mac_remap()),
 }
 ORACLES = {k: v for k, v in ORACLES.items() if v is not None}

@@ -209,7 +209,8 @@ def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register_streaming() -> None:
-    from lansight.streaming.compile import packet_stream, stream_reply_mismatch, stream_unsolicited
+    from lansight.streaming.compile import (packet_stream, stream_ip_mac_remap, stream_reply_mismatch,
+                                            stream_unsolicited)
 
     QUERIES.update({
         "src_csv_stream": q_src_csv_stream,
@@ -224,6 +225,7 @@ def _register_streaming() -> None:
         "stream_reply_mismatch": _stream_query("reply-mismatch", lambda s: stream_reply_mismatch(packet_stream(s))),
         "stream_unsolicited": _stream_query("unsolicited", lambda s: stream_unsolicited(packet_stream(s))),
         "stream_microbatch": q_stream_microbatch,
+        "stream_ip_mac_remap": _stream_query("ip-mac-remap", lambda s: stream_ip_mac_remap(packet_stream(s))),
     })
 
 

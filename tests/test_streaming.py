@@ -8,7 +8,7 @@ import random
 from conftest import BASE, pkt
 
 from lansight.functions.normalize import enrich
-from lansight.operators import joins, rules
+from lansight.operators import history, joins, rules
 from lansight.schema import RAW_SCHEMA
 from lansight.session import scratch_path
 from lansight.sources import csv
@@ -49,6 +49,9 @@ def test_stream_equals_batch(spark):
         assert rp.batches == 4
     out, _ = replay(spark, raw, lambda s: sc.stream_unsolicited(sc.packet_stream(s)), "unsolicited", slices=3)
     assert _same(out, joins.detect_unsolicited(p))
+    out, _ = replay(spark, raw, lambda s: sc.stream_ip_mac_remap(sc.packet_stream(s)), "remap", slices=3)
+    want = history.ip_mac_remap(p)
+    assert want.count() > 0 and _same(out.select(*want.columns), want)
 
 
 def test_microbatch_mode_differs(spark):
