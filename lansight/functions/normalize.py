@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lansight.config import DEFAULT, ArpConfig
-from lansight.functions.timefn import epoch_to_event_ts
-from lansight.schema import BROADCAST_MAC, ENRICHED_COLUMNS, TRUE_SPELLINGS, ZERO_MAC
+from lansight.schema import BROADCAST_MAC, TRUE_SPELLINGS, ZERO_MAC
 
 
 def raw(name: str) -> Column:
@@ -32,33 +31,45 @@ def opcode_label(opcode: Column) -> Column:
     return F.when(opcode == 1, "Request").when(opcode == 2, "Reply").otherwise("Other")
 
 
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def enrich_exprs(precision: str = "seconds") -> list[str]:
+    """The normalisation as SQL expressions over the raw dotted columns."""
+    if precision == "seconds":
+        event_ts = "timestamp_seconds(try_cast(try_cast(`frame.time_epoch` AS DOUBLE) AS BIGINT))"
+    elif precision == "micros":
+        event_ts = "timestamp_micros(try_cast(try_cast(`frame.time_epoch` AS DOUBLE) * 1000000 AS BIGINT))"
+    else:
+        raise ValueError(f"unknown time precision {precision!r}")
+    eth_src, eth_dst = "lower(trim(`eth.src`))", "lower(trim(`eth.dst`))"
+    opcode, src_mac = "try_cast(`arp.opcode` AS INT)", "lower(trim(`arp.src.hw_mac`))"
+    return [
+        f"{event_ts} AS event_ts",
+        "try_cast(`frame.time_epoch` AS DOUBLE) AS epoch_ts",
+        f"{eth_src} AS eth_src",
+        f"{eth_dst} AS eth_dst",
+        f"{opcode} AS opcode",
+        f"{src_mac} AS arp_src_mac",
+        "trim(`arp.src.proto_ipv4`) AS arp_src_ip",
+        "lower(trim(`arp.dst.hw_mac`)) AS arp_dst_mac",
+        "trim(`arp.dst.proto_ipv4`) AS arp_dst_ip",
+        f"lower(trim(`arp.isgratuitous`)) IN ({_sql_list(TRUE_SPELLINGS)}) AS is_gratuitous",
+        f"{eth_dst} = '{BROADCAST_MAC}' AS is_broadcast",
+        f"{opcode} = 1 AS is_request",
+        f"{opcode} = 2 AS is_reply",
+        f"{eth_src} <> {src_mac} AND {src_mac} IS NOT NULL AND {src_mac} <> '{ZERO_MAC}' AS has_mac_mismatch",
+    ]
+
+
 def enrich(raw_df: DataFrame, config: ArpConfig = DEFAULT, watermark: bool = False) -> DataFrame:
     """Raw packets (9 dotted columns) -> enriched packets (14 columns).
 
-    ``watermark`` adds the event-time watermark; it only matters for streams that
-    feed a stateful operator.
+    One projection (parsed once on the JVM); ``watermark`` adds the event-time
+    watermark, which only matters for streams feeding a stateful operator.
     """
-    epoch = raw("frame.time_epoch").try_cast("double")
-    eth_src = mac_canonical(raw("eth.src"))
-    eth_dst = mac_canonical(raw("eth.dst"))
-    opcode = raw("arp.opcode").try_cast("int")
-    arp_src_mac = mac_canonical(raw("arp.src.hw_mac"))
-    out = raw_df.select(
-        epoch_to_event_ts(epoch, config.time_precision).alias("event_ts"),
-        epoch.alias("epoch_ts"),
-        eth_src.alias("eth_src"),
-        eth_dst.alias("eth_dst"),
-        opcode.alias("opcode"),
-        arp_src_mac.alias("arp_src_mac"),
-        F.trim(raw("arp.src.proto_ipv4")).alias("arp_src_ip"),
-        mac_canonical(raw("arp.dst.hw_mac")).alias("arp_dst_mac"),
-        F.trim(raw("arp.dst.proto_ipv4")).alias("arp_dst_ip"),
-        gratuitous_flag(raw("arp.isgratuitous")).alias("is_gratuitous"),
-        (eth_dst == BROADCAST_MAC).alias("is_broadcast"),
-        (opcode == 1).alias("is_request"),
-        (opcode == 2).alias("is_reply"),
-        ((eth_src != arp_src_mac) & arp_src_mac.isNotNull() & (arp_src_mac != ZERO_MAC)).alias("has_mac_mismatch"),
-    )
+    out = raw_df.selectExpr(*enrich_exprs(config.time_precision))
     if watermark:
         out = out.withWatermark("event_ts", f"{config.watermark_seconds} seconds")
-    return out.select(*ENRICHED_COLUMNS)
+    return out

@@ -9,8 +9,7 @@ spellings.  It is a pure projection, so it scales with ``events``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the packet adapter.
 BASE_EPOCH = 1704067200
@@ -29,53 +28,63 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
+def _mac(n: str) -> str:
+    return f"concat('{MAC_PREFIX}', lpad(CAST({n} AS STRING), 2, '0'))"
+
+
+def _ip(n: str) -> str:
+    return f"concat('{IP_PREFIX}', CAST({n} AS STRING))"
+
+
+def _dirty(m: str) -> str:
+    return f"CASE WHEN event_id % 7 = 0 THEN upper({m}) ELSE {m} END"
+
+
 def packets_from_events(events: DataFrame) -> DataFrame:
-    """events -> raw 9-column packet table (the capture schema)."""
-    c = F.col
-    eid = c("event_id")
-    k = F.regexp_extract(c("props"), "[0-9]+", 0).try_cast("int")
-    burst = (F.floor(eid / F.lit(BURST_PERIOD_PACKETS)) % BURST_CYCLE) == 1
-    s = c("user_id") % 8 + 1
-    d = F.when(burst, k % 32 + 1).otherwise(k % 10 + 1)
-    et = c("event_type")
-    rep = et.isin("error", "purchase") & ~(burst & (et == "purchase"))
-    spoof = (et == "error") & (c("value") >= 250)
-    probe = (et == "signup") & (c("value") >= 250)
-    garp = (et == "view") & (c("value") < 1)
-
-    def mac(n: Column, width: int = 2) -> Column:
-        return F.concat(F.lit(MAC_PREFIX), F.lpad(n.cast("string"), width, "0"))
-
-    def ip(n: Column) -> Column:
-        return F.concat(F.lit(IP_PREFIX), n.cast("string"))
-
-    eth_src = F.when(burst, F.lit(ATTACKER_MAC)).otherwise(mac(s))
-    eth_dst = F.when(rep, mac(d)).otherwise(F.lit("ff:ff:ff:ff:ff:ff"))
-    arp_src_mac = F.when(spoof, F.lit(FORGED_MAC)).when(burst, F.lit(ATTACKER_MAC)).otherwise(mac(s))
-    arp_src_ip = (F.when(probe, F.lit("0.0.0.0")).when(spoof, ip(s % 8 + 1))
-                  .when(burst, F.lit(ATTACKER_IP)).otherwise(ip(s)))
-    arp_dst_mac = F.when(rep, eth_dst).otherwise(F.lit("00:00:00:00:00:00"))
-    spell = F.element_at(F.array(*[F.lit(x) for x in GARP_SPELLINGS]), (eid % 4 + 1).cast("int"))
-    upper = (eid % 7) == 0
-
-    def dirty(m: Column) -> Column:
-        return F.when(upper, F.upper(m)).otherwise(m)
-
-    return events.select(
-        (F.lit(float(BASE_EPOCH)) + eid.cast("double") / F.lit(float(PACKETS_PER_SECOND))).alias("frame.time_epoch"),
-        dirty(eth_src).alias("eth.src"),
-        dirty(eth_dst).alias("eth.dst"),
-        F.when(rep, 2).otherwise(1).cast("int").alias("arp.opcode"),
-        dirty(arp_src_mac).alias("arp.src.hw_mac"),
-        arp_src_ip.alias("arp.src.proto_ipv4"),
-        dirty(arp_dst_mac).alias("arp.dst.hw_mac"),
-        ip(d).alias("arp.dst.proto_ipv4"),
-        F.when(garp, spell).alias("arp.isgratuitous"),
+    """events -> raw 9-column packet table (the capture schema).
+
+    Written as SQL expressions: they are parsed once on the JVM, which keeps
+    plan construction cheap (no per-expression Python round trips)."""
+    spell = ", ".join(f"'{x}'" for x in GARP_SPELLINGS)
+    step1 = events.selectExpr(
+        "event_id", "value", "event_type",
+        "try_cast(regexp_extract(props, '[0-9]+', 0) AS INT) AS k",
+        f"floor(event_id / {BURST_PERIOD_PACKETS}) % {BURST_CYCLE} = 1 AS burst",
+        "user_id % 8 + 1 AS s",
+    )
+    step2 = step1.selectExpr(
+        "event_id", "burst", "s",
+        "CASE WHEN burst THEN k % 32 + 1 ELSE k % 10 + 1 END AS d",
+        "event_type IN ('error', 'purchase') AND NOT (burst AND event_type = 'purchase') AS rep",
+        "event_type = 'error' AND value >= 250 AS spoof",
+        "event_type = 'signup' AND value >= 250 AS probe",
+        "event_type = 'view' AND value < 1 AS garp",
+    )
+    eth_src = f"CASE WHEN burst THEN '{ATTACKER_MAC}' ELSE {_mac('s')} END"
+    eth_dst = f"CASE WHEN rep THEN {_mac('d')} ELSE 'ff:ff:ff:ff:ff:ff' END"
+    src_mac = f"CASE WHEN spoof THEN '{FORGED_MAC}' WHEN burst THEN '{ATTACKER_MAC}' ELSE {_mac('s')} END"
+    src_ip = (f"CASE WHEN probe THEN '0.0.0.0' WHEN spoof THEN {_ip('s % 8 + 1')} "
+              f"WHEN burst THEN '{ATTACKER_IP}' ELSE {_ip('s')} END")
+    dst_mac = f"CASE WHEN rep THEN {_mac('d')} ELSE '00:00:00:00:00:00' END"
+    return step2.selectExpr(
+        f"CAST({BASE_EPOCH} AS DOUBLE) + CAST(event_id AS DOUBLE) / {float(PACKETS_PER_SECOND)}D AS `frame.time_epoch`",
+        f"{_dirty(eth_src)} AS `eth.src`",
+        f"{_dirty(eth_dst)} AS `eth.dst`",
+        "CAST(CASE WHEN rep THEN 2 ELSE 1 END AS INT) AS `arp.opcode`",
+        f"{_dirty(src_mac)} AS `arp.src.hw_mac`",
+        f"{src_ip} AS `arp.src.proto_ipv4`",
+        f"{_dirty(dst_mac)} AS `arp.dst.hw_mac`",
+        f"{_ip('d')} AS `arp.dst.proto_ipv4`",
+        f"CASE WHEN garp THEN element_at(array({spell}), CAST(event_id % 4 + 1 AS INT)) END AS `arp.isgratuitous`",
     )
 
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(events_path(sf_dir)).select("event_id", "user_id", "event_type", "value", "props")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(events_path(sf_dir)) \
+        .select("event_id", "user_id", "event_type", "value", "props")
 
 
 def raw_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
