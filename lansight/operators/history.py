@@ -28,21 +28,20 @@ def claims(df: DataFrame) -> DataFrame:
 def ip_mac_remap(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int = 3600) -> DataFrame:
     """Claims whose MAC differs from the previous claim for the same IP.
 
-    Order within an IP is (epoch_ts, arp_src_mac)."""
+    Order within an IP is (epoch_ts, arp_src_mac).  One window pass over
+    (ip, bucket) gives each claim's previous MAC inside its bucket and the
+    bucket's last MAC; the first claim of a bucket takes the last MAC of the
+    IP's previous non-empty bucket (a ``lag`` over one row per bucket)."""
     ev = claims(df).select("event_ts", "epoch_ts", "eth_src", c("arp_src_ip").alias("ip"),
                            c("arp_src_mac").alias("mac"),
                            F.floor(c("epoch_ts") / F.lit(float(bucket_seconds))).alias("bucket"))
-    order = ["epoch_ts", "mac"]
-    in_bucket = Window.partitionBy("ip", "bucket").orderBy(*order)
-    ev = ev.withColumn("prev_mac", F.lag("mac").over(in_bucket)).withColumn(
-        "first_in_bucket", F.row_number().over(in_bucket) == 1)
-    last = ev.groupBy("ip", "bucket").agg(F.max_by("mac", F.struct(*order)).alias("last_mac"))
-    carry = last.select("ip", "bucket", F.lag("last_mac").over(Window.partitionBy("ip").orderBy("bucket"))
-                        .alias("carried_mac"))
-    firsts = ev.filter(c("first_in_bucket")).join(carry, ["ip", "bucket"], "inner").withColumn(
-        "prev_mac", c("carried_mac")).drop("carried_mac")
-    rest = ev.filter(~c("first_in_bucket"))
-    both = rest.unionByName(firsts)
+    in_bucket = Window.partitionBy("ip", "bucket").orderBy("epoch_ts", "mac")
+    whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ev = ev.select("*", F.lag("mac").over(in_bucket).alias("prev_mac"),
+                   F.row_number().over(in_bucket).alias("rn"), F.last("mac").over(whole_bucket).alias("bucket_last"))
+    firsts = ev.filter(c("rn") == 1).withColumn(
+        "prev_mac", F.lag("bucket_last").over(Window.partitionBy("ip").orderBy("bucket")))
+    both = ev.filter(c("rn") > 1).unionByName(firsts)
     return both.filter(c("prev_mac").isNotNull() & (c("prev_mac") != c("mac"))).select(
         "event_ts", "ip", c("prev_mac").alias("previous_mac"), c("mac").alias("new_mac"), "eth_src",
         F.lit("IP-MAC remap").alias("heuristic"))
