@@ -25,7 +25,13 @@ from lansight.plans.batch import run_batch  # noqa: E402
 from lansight.session import build_session, shared_dir  # noqa: E402
 from lansight.sources import archive, csv, messages  # noqa: E402
 from lansight.streaming import compile as sc  # noqa: E402
-from lansight.streaming.runner import await_and_stop, file_sink  # noqa: E402
+from lansight.schema import RAW_SCHEMA  # noqa: E402
+from lansight.streaming.runner import await_and_stop  # noqa: E402
+from lansight.streaming.sinks import file_sink  # noqa: E402
+
+from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
+
+RAW_SCHEMA_WITH_DATE = StructType(RAW_SCHEMA.fields + [StructField("date", StringType(), True)])
 
 
 def run_batch_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, from_archive: bool = False) -> None:
@@ -45,16 +51,40 @@ def run_batch_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, from_arch
 
 
 def run_stream_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, kafka: bool = False,
-                   timeout: float | None = None) -> None:
+                   timeout: float | None = None, once: bool = False) -> list:
+    """Ingest the source once into a date-partitioned Parquet stream ("silver"),
+    then run every detector as its own stateful query over the silver stream,
+    each with its own checkpoint under ``spark.checkpoint.dir``.
+
+    ``once``: process what is there (``availableNow``) and return, for batch-like
+    scheduled runs; state and offsets carry over to the next run."""
     raw = messages.read_kafka_stream(spark, cfg) if kafka else csv.read_csv_stream(spark, inp, cfg)
-    packets = sc.packet_stream(raw, cfg)
+    ckpt = f"{shared_dir(spark)}/lansight-stream"
+    silver = f"{out}/silver"
+    ingest = file_sink(raw.withColumn("date", archive.capture_date(raw)), silver, f"{ckpt}/ingest",
+                       name="ingest", partition_by=("date",))
+    ingest = ingest.trigger(availableNow=True) if once else ingest
+    q_ingest = ingest.start()
+    if once:
+        q_ingest.awaitTermination()
+    else:
+        while q_ingest.isActive and q_ingest.lastProgress is None:
+            q_ingest.awaitTermination(1)
+    silver_stream = spark.readStream.schema(RAW_SCHEMA_WITH_DATE).parquet(silver)
+    packets = sc.packet_stream(silver_stream, cfg)
     outputs = {r.name: sc.stream_rule(packets, r) for r in rules.standard_rules(cfg)}
     outputs["spoof_reply_mismatch"] = sc.stream_reply_mismatch(packets, cfg)
     outputs["unsolicited"] = sc.stream_unsolicited(packets, cfg)
-    ckpt = f"{shared_dir(spark)}/lansight-stream"
-    queries = [file_sink(df, f"{out}/detections/{name}", f"{ckpt}/{name}", name=name).start()
-               for name, df in outputs.items()]
-    await_and_stop(spark, queries, timeout)
+    queries = []
+    for name, df in outputs.items():
+        w = file_sink(df, f"{out}/detections/{name}", f"{ckpt}/{name}", name=name)
+        queries.append((w.trigger(availableNow=True) if once else w).start())
+    if once:
+        for q in queries:
+            q.awaitTermination()
+        return queries
+    await_and_stop(spark, [q_ingest] + queries, timeout)
+    return queries
 
 
 def main(argv=None) -> None:
@@ -65,13 +95,14 @@ def main(argv=None) -> None:
     ap.add_argument("--from-archive", action="store_true")
     ap.add_argument("--kafka", action="store_true")
     ap.add_argument("--timeout", type=float, default=None)
+    ap.add_argument("--once", action="store_true", help="stream mode: process what is there and stop")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session("lansight-job", master=a.master)
     if a.mode == "batch":
         run_batch_job(spark, a.input, a.output, from_archive=a.from_archive)
     else:
-        run_stream_job(spark, a.input, a.output, kafka=a.kafka, timeout=a.timeout)
+        run_stream_job(spark, a.input, a.output, kafka=a.kafka, timeout=a.timeout, once=a.once)
 
 
 if __name__ == "__main__":

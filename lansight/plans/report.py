@@ -112,3 +112,14 @@ def spoofing_summary(alerts: DataFrame) -> DataFrame:
 def alerts_json(alerts: DataFrame) -> DataFrame:
     """Kafka-ready (key, value) records of the alert table."""
     return alerts.select(c("detector").alias("key"), F.to_json(F.struct(*ALERT_COLUMNS)).alias("value"))
+
+
+def chart_frames(detections: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The column subsets the dashboard plots (scan scatter, flood line,
+    GARP bars, conflict bars) — projections only, nothing collected."""
+    return {
+        "scan_scatter": detections["scanning"].select("window_start", "scanner_mac", "unique_targets"),
+        "flood_line": detections["flood"].select("second", "mac", "requests_per_sec"),
+        "garp_bars": detections["garp"].select("mac", "garp_count"),
+        "conflict_bars": detections["conflict"].select("contested_ip", "claiming_mac_count"),
+    }

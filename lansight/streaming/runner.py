@@ -24,6 +24,7 @@ from lansight.plans import report
 from lansight.schema import RAW_SCHEMA
 from lansight.session import scratch_path
 from lansight.sources import csv as csv_source
+from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noqa: F401  (re-exported)
 
 # Reserved MAC / IP of the end-of-capture marker and how far after
 # the last packet it is placed (seconds).
@@ -32,29 +33,6 @@ MARKER_IP = "192.0.2.255"
 MARKER_GAP_SECONDS = 86_400
 
 
-def file_sink(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
-              partition_by: Sequence[str] = ()) -> DataStreamWriter:
-    """K2: Parquet file sink, append mode, own checkpoint (exactly-once via the sink log)."""
-    w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
-        .outputMode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if name:
-        w = w.queryName(name)
-    return w
-
-
-def console_sink(df: DataFrame, name: str, output_mode: str = "append") -> DataStreamWriter:
-    """K1: console sink for interactive runs."""
-    return (df.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
-            .option("numRows", 20).queryName(name))
-
-
-def memory_sink(df: DataFrame, name: str, output_mode: str = "append") -> DataStreamWriter:
-    """K3: in-memory table (driver-side; for small test streams only)."""
-    return df.writeStream.format("memory").outputMode(output_mode).queryName(name)
-
-
 def start_all(writers: dict[str, DataStreamWriter]) -> list[StreamingQuery]:
     """Start many named queries."""
     return [w.queryName(name).start() for name, w in writers.items()]

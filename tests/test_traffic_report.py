@@ -94,3 +94,10 @@ def test_alert_json_records(packets):
     recs = report.alerts_json(batch.run_batch(packets(rows)).alerts).collect()
     assert {r.key for r in recs} == {"spoof_reply_mismatch", "unsolicited"}
     assert all(r.value.startswith('{"detector":') for r in recs)
+
+
+def test_chart_frames_are_projections(packets):
+    rows = [pkt(BASE + i / 10, dst_ip=f"10.0.0.{i}") for i in range(60)]
+    frames = report.chart_frames(batch.run_batch(packets(rows)).detections)
+    assert frames["scan_scatter"].columns == ["window_start", "scanner_mac", "unique_targets"]
+    assert frames["flood_line"].count() == 1
