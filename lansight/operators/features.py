@@ -41,7 +41,12 @@ def mac_outliers(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    feats = mac_features(df, cfg)
+    from lansight.session import shared_dir
+
+    shared_dir(df.sparkSession)  # makes sure checkpoint() has the cluster's shared folder
+    # KMeans passes over its input once per iteration: cut the lineage once into
+    # the shared checkpoint folder (reliable; survives executor loss)
+    feats = mac_features(df, cfg).checkpoint()
     vec = VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features").transform(feats)
     scaled = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True) \
         .fit(vec).transform(vec)

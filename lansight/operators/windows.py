@@ -9,8 +9,11 @@ compiled two ways:
   partial/final hash aggregate, so a hot key (one flooding MAC) is collapsed
   map-side before any shuffle and no per-group set is ever materialised.
   ``count(distinct c)`` becomes ``count(c)`` over level-1 rows.
-* stream: one stateful aggregate with ``size(collect_set(..))`` (distinct
-  aggregates are refused on streams); the set is bounded by the window.
+* stream: the same two levels as chained stateful aggregates (append mode,
+  the watermark propagates from level 1 to level 2).  State is one row per
+  (window, key, value) instead of one growing set per (window, key); only rules
+  with two distinct columns keep small sets at level 2, over distinct pairs
+  (``count(distinct)`` is refused on streams).
 
 Rules that share window and key (MAC flipping, IP flipping, impersonation) can
 be compiled together: they then share one level-1 aggregate, i.e. one shuffle
@@ -106,8 +109,10 @@ def compile_batch(df: DataFrame, rule: WindowRule) -> DataFrame:
     return compile_batch_family(df, [rule])[rule.name]
 
 
-def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule]) -> dict[str, DataFrame]:
-    """Compile rules sharing (window, key) over one level-1 aggregate."""
+def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule], stream: bool = False) -> dict[str, DataFrame]:
+    """Compile rules sharing (window, key) over one level-1 aggregate.
+
+    ``stream``: level 2 avoids ``count(distinct)`` (refused on streams)."""
     if not rules:
         return {}
     fam = {_family_key(r) for r in rules}
@@ -151,10 +156,16 @@ def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule]) -> dict[str
             elif m.kind in ("distinct", "set_size"):
                 c = m.cols[0]
                 # with c the only level-1 extra key, each non-null value is one row
-                v = F.count(c) if dcols == [c] else F.count_distinct(F.col(c))
+                if dcols == [c]:
+                    v = F.count(c)
+                else:
+                    v = F.size(F.collect_set(c)) if stream else F.count_distinct(F.col(c))
                 aggs.append(v.cast("bigint" if m.kind == "distinct" else "int").alias(m.alias))
             elif m.kind == "pairs":
-                v = F.count(F.lit(1)) if set(m.cols) == set(dcols) else F.count_distinct(F.struct(*m.cols))
+                if set(m.cols) == set(dcols):
+                    v = F.count(F.lit(1))
+                else:
+                    v = F.size(F.collect_set(F.struct(*m.cols))) if stream else F.count_distinct(F.struct(*m.cols))
                 aggs.append(v.cast("int").alias(m.alias))
             elif m.kind == "first":
                 aggs.append(F.min(f"_f{i}").alias(m.alias))
@@ -194,13 +205,18 @@ def compile_batch_all(df: DataFrame, rules: Iterable[WindowRule]) -> dict[str, D
 # ---------------------------------------------------------------------------
 
 def compile_stream(df: DataFrame, rule: WindowRule, approx_distinct: bool = False) -> DataFrame:
-    """Single stateful aggregate; needs a watermark on the time column upstream."""
+    """Stateful form; needs a watermark on the time column upstream.
+
+    Exact: the batch two-level plan as chained stateful aggregates.
+    ``approx_distinct``: one aggregate with HyperLogLog sketches (bounded state)."""
+    if not approx_distinct:
+        return compile_batch_family(df, [rule], stream=True)[rule.name]
     aggs = []
     for m in rule.measures:
         if m.kind == "count":
             aggs.append(F.count(F.lit(1)).alias(m.alias))
         elif m.kind in ("distinct", "set_size"):
-            if approx_distinct and m.kind == "distinct":
+            if approx_distinct:
                 v = F.approx_count_distinct(m.cols[0])
             else:
                 v = F.size(F.collect_set(m.cols[0]))
