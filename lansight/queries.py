@@ -202,9 +202,11 @@ def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     # contiguous time ranges per file, like a rolling capture; one file per micro-batch
     raw = raw_packets(spark, sf_dir)
     csv.write_csv(raw.repartitionByRange(8, raw["`frame.time_epoch`"]), f"{root}/inbox")
-    q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
-                          f"{root}/out", f"{root}/checkpoint")
-    q.awaitTermination()
+    from lansight.session import session_conf, state_partitions
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
+        q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
+                              f"{root}/out", f"{root}/checkpoint")
+        q.awaitTermination()
     return at_boundary(spark.read.parquet(f"{root}/out"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampType
@@ -64,6 +65,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lansight/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set runtime SQL settings for a block and restore them afterwards."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """State-store partitions for a new streaming query: the shuffle setting,
+    capped at the cluster's task slots (each partition opens a state store per
+    stateful operator and micro-batch).  Fixed in the checkpoint at first start."""
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:
+        slots = 200
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), slots))
+
+
 def at_boundary(df: DataFrame) -> DataFrame:
     """Convert TIMESTAMP columns to TIMESTAMP_NTZ holding UTC wall time (driver contract)."""
     cols = []

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from lansight.config import DEFAULT, ArpConfig
 from lansight.plans import report
 from lansight.schema import RAW_SCHEMA
-from lansight.session import scratch_path
+from lansight.session import scratch_path, session_conf, state_partitions
 from lansight.sources import csv as csv_source
 from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noqa: F401  (re-exported)
 
@@ -105,15 +105,16 @@ def replay(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], Dat
     parts = time_slices(raw, slices)
     hi = raw.agg(F.max(F.col("`frame.time_epoch`").try_cast("double")).alias("hi")).first()["hi"] or 0.0
     parts.append(end_marker(spark, hi))
-    for part in parts:
-        csv_source.write_csv(part, rp.inbox)
-        stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger)
-        q = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by) \
-            .trigger(availableNow=True).start()
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream {name} failed: {q.exception()}")
-        rp.batches += 1
+    with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
+        for part in parts:
+            csv_source.write_csv(part, rp.inbox)
+            stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger)
+            q = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by) \
+                .trigger(availableNow=True).start()
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(f"stream {name} failed: {q.exception()}")
+            rp.batches += 1
     return drop_marker(spark.read.parquet(rp.out)), rp
 
 
