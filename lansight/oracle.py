@@ -470,6 +470,7 @@ ORACLES: dict[str, str] = {
     "spoof_reply_mismatch": _full(sql_reply_mismatch()),
     "unsolicited": _full(sql_unsolicited()),
     "unsolicited_asof": _full(sql_unsolicited()),
+    "unsolicited_covered": _full(sql_unsolicited()),
     "request_reply_match": _full(sql_request_reply_match()),
     # aggregate primitives
     "window_tumbling_counts": _full(sql_window_tumbling_counts()),

@@ -123,6 +123,7 @@ QUERIES: dict[str, QueryFn] = {
     "spoof_reply_mismatch": _on_packets(events.detect_reply_mismatch),
     "unsolicited": _on_packets(joins.detect_unsolicited),
     "unsolicited_asof": _on_packets(lambda p: joins.detect_unsolicited(p, method="asof")),
+    "unsolicited_covered": _on_packets(lambda p: joins.detect_unsolicited(p, method="covered")),
     "request_reply_match": _on_packets(joins.request_reply_match),
     # aggregate primitives alone, no threshold
     "window_tumbling_counts": _on_packets(rules.window_tumbling_counts),

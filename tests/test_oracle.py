@@ -57,5 +57,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = {"alerts_json", "mac_outliers", "scanning_approx", "stream_microbatch"}
+    rows_only = {"alerts_json", "mac_outliers", "scanning_approx", "stream_microbatch"}  # noqa: F841
     assert set(E.queries()) - set(E.oracle_sql()) == rows_only
