@@ -132,3 +132,19 @@ def test_rules_match_brute_force(packets):
     got = {(int(r.window_start.timestamp()), r.mac, r.unique_src_ips, r.unique_arp_macs, r.identity_count,
             r.total_packets) for r in rules.detect_impersonation(p).collect()}
     assert got == brute.impersonation(pk) and got
+
+
+def test_reply_mismatch_forms(packets):
+    from lansight.operators import events
+    e = "02:00:00:00:00:01"
+    rows = [pkt(BASE, eth_src=e, opcode=2, src_mac=e),                       # equal
+            pkt(BASE + 1, eth_src=e, opcode=2, src_mac="02:00:00:00:00:99"),  # forged
+            pkt(BASE + 2, eth_src=e, opcode=2, src_mac="00:00:00:00:00:00"),  # unset sender
+            pkt(BASE + 3, eth_src=e, opcode=2, src_mac="02:00:00:00:00:01".upper()),  # case only
+            pkt(BASE + 4, eth_src=e, opcode=1, src_mac="02:00:00:00:00:98")]  # a request
+    rows.append(pkt(BASE + 5, eth_src=e, opcode=2)[:4] + (None,) + pkt(BASE)[5:])  # null sender
+    p = packets(rows)
+    out = [(r.real_mac, r.claimed_mac) for r in events.detect_reply_mismatch(p).collect()]
+    assert out == [(e, "02:00:00:00:00:99")]
+    req = [(r.claimed_mac, r.spoof_heuristic) for r in events.detect_spoofed_requests(p).collect()]
+    assert req == [("02:00:00:00:00:98", "Request MAC mismatch")]
