@@ -45,7 +45,8 @@ def main() -> None:
     extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
     if not os.environ.get("SPARK_CHECKPOINT_DIR"):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="lansight-bench-")
-    spark = build_session("lansight-bench", master=f"local[{cpus}]", partitions=max(4, cpus * 2), extra=extra)
+    parts = int(os.environ.get("BENCH_PARTITIONS", str(max(4, cpus * 2))))
+    spark = build_session("lansight-bench", master=f"local[{cpus}]", partitions=parts, extra=extra)
 
     if copies > 1:
         # a longer capture: copy c of every event is shifted by c * (number of events) ids,
