@@ -185,7 +185,9 @@ def detect_unsolicited_by_mac(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFr
 def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     """J2, the matched half of J1: one row per solicited reply with the number of
     requests that answer it and the first/last of them.  Requests are counted
-    per (pair, covered second) first, so a request burst never fans out."""
+    per (pair, covered second) first, so a request burst never fans out, and
+    the join key includes the second, so a hot pair's replies spread over its
+    seconds (a coarser time bucket would gather a minute of them in one task)."""
     L = cfg.unsolicited_lookback
     sec = F.unix_seconds(c("event_ts"))
     cov = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()

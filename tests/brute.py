@@ -98,3 +98,18 @@ def remaps(pk):
             if a["src_mac"] != b["src_mac"]:
                 out.append((b["sec"], ip, a["src_mac"], b["src_mac"]))
     return sorted(out)
+
+
+def request_reply_match(pk, lookback=5):
+    reqs = defaultdict(list)
+    for p in pk:
+        if p["req"] and p["sec"] is not None and p["src_ip"] is not None and p["dst_ip"] is not None:
+            reqs[(p["dst_ip"], p["src_ip"])].append(p["sec"])
+    out = []
+    for p in pk:
+        if not p["rep"] or p["sec"] is None:
+            continue
+        hits = [s for s in reqs.get((p["src_ip"], p["dst_ip"]), []) if s <= p["sec"] <= s + lookback]
+        if hits:
+            out.append((p["sec"], p["eth_src"], p["src_ip"], len(hits), min(hits), max(hits)))
+    return sorted(out)
