@@ -18,10 +18,17 @@ def _reader(r, keep_corrupt: bool, header: bool = True):
     return r
 
 
-def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False, header: bool = True) -> DataFrame:
+def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False, header: bool = True,
+                   trim: bool = False) -> DataFrame:
     """A folder (or glob) of capture CSV files.  Bad or missing fields become
-    null and the row is kept; ``keep_corrupt`` adds the offending line text (S6)."""
-    return _reader(spark.read, keep_corrupt, header).csv(path)
+    null and the row is kept; ``keep_corrupt`` adds the offending line text (S6).
+    ``trim`` strips white space around fields before parsing, as the stream scan
+    does, so a number written as " 1.5" parses (off by default: the batch scan
+    of the original keeps fields as they are)."""
+    r = spark.read
+    if trim:
+        r = r.option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
+    return _reader(r, keep_corrupt, header).csv(path)
 
 
 def read_csv_stream(spark: SparkSession, path: str, cfg: ArpConfig = DEFAULT,

@@ -66,3 +66,11 @@ def test_archive_roundtrip_prunes_dates(spark):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan
     assert archive.read_archive(spark, path, dates=["2020-01-01"]).count() == 0
+
+
+def test_trim_option_parses_spaced_numbers(spark):
+    path = os.path.join(DATA, "spaced_numbers.csv")
+    plain = enrich(csv.read_csv_batch(spark, path)).first()
+    trimmed = enrich(csv.read_csv_batch(spark, path, trim=True)).first()
+    assert plain.epoch_ts is None and plain.opcode is None
+    assert trimmed.epoch_ts == 1778013840.5 and trimmed.opcode == 1
