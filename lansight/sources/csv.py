@@ -23,8 +23,8 @@ def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False, h
     """A folder (or glob) of capture CSV files.  Bad or missing fields become
     null and the row is kept; ``keep_corrupt`` adds the offending line text (S6).
     ``trim`` strips white space around fields before parsing, as the stream scan
-    does, so a number written as " 1.5" parses (off by default: the batch scan
-    of the original keeps fields as they are)."""
+    does, so an opcode written as " 1 " parses (off by default: the batch scan
+    of the original keeps fields as they are; doubles parse either way)."""
     r = spark.read
     if trim:
         r = r.option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
