@@ -42,8 +42,9 @@ def build_session(app: str = "lansight", master: str | None = None, partitions:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when none is configured (local tests) a private one is created and
-    registered, so ``DataFrame.checkpoint()`` works everywhere.
+    Only when none is configured on a local master (tests, laptops) a private
+    one is created and registered, so ``DataFrame.checkpoint()`` works; on a
+    cluster a missing setting is an error, never a machine-local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -52,6 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             base = None
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         base = tempfile.mkdtemp(prefix="lansight-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
