@@ -15,14 +15,17 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from lansight.config import DEFAULT
 from lansight.functions.normalize import enrich, gratuitous_flag, raw
 from lansight.operators import events, features, history, inventory, joins, rules, traffic
 from lansight.plans import batch, report, sql
-from lansight.session import at_boundary, scratch_path
+from lansight.schema import ENRICHED_COLUMNS
+from lansight.session import at_boundary, scratch_path, session_conf, state_partitions
 from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
+from lansight.streaming.compile import (packet_stream, stream_ip_mac_remap, stream_reply_mismatch, stream_rule,
+                                        stream_unsolicited)
+from lansight.streaming.runner import microbatch_alerts, replay
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -161,49 +164,39 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
-
 # --- streaming ----------------------------------------------------------------
 
 def _stream_query(name: str, build) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from lansight.streaming.runner import replay
         out, _ = replay(spark, raw_packets(spark, sf_dir), build, name)
         return at_boundary(out)
     return run
 
 
 def _stream_rule(rule_fn) -> QueryFn:
-    from lansight.streaming.compile import packet_stream, stream_rule
     return _stream_query(rule_fn(DEFAULT).name, lambda s: stream_rule(packet_stream(s), rule_fn(DEFAULT)))
 
 
 def q_src_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lansight.streaming.runner import replay
     out, _ = replay(spark, raw_packets(spark, sf_dir), lambda s: s, "csv-stream")
     return at_boundary(enrich(out))
 
 
 def q_sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lansight.schema import ENRICHED_COLUMNS
-    from lansight.streaming.compile import packet_stream
-    from lansight.streaming.runner import replay
-
+    """K2: the normalised packet stream into a date-partitioned Parquet sink."""
     def build(s):
         p = enrich(s)
         return p.withColumn("date", F.date_from_unix_date(
             F.floor(F.unix_seconds(F.col("event_ts")) / 86400).cast("int")).cast("string"))
-    _ = packet_stream
     out, _rp = replay(spark, raw_packets(spark, sf_dir), build, "sink-parquet", partition_by=("date",))
     return at_boundary(out.select(*ENRICHED_COLUMNS))
 
 
 def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lansight.streaming.runner import microbatch_alerts
     root = scratch_path(spark, "stream-microbatch")
     # contiguous time ranges per file, like a rolling capture; one file per micro-batch
     raw = raw_packets(spark, sf_dir)
     csv.write_csv(raw.repartitionByRange(8, raw["`frame.time_epoch`"]), f"{root}/inbox")
-    from lansight.session import session_conf, state_partitions
     with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
         q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
                               f"{root}/out", f"{root}/checkpoint")
@@ -212,9 +205,6 @@ def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register_streaming() -> None:
-    from lansight.streaming.compile import (packet_stream, stream_ip_mac_remap, stream_reply_mismatch,
-                                            stream_unsolicited)
-
     QUERIES.update({
         "src_csv_stream": q_src_csv_stream,
         "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
