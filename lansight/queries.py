@@ -25,7 +25,7 @@ from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
 from lansight.streaming.compile import (packet_stream, stream_ip_mac_remap, stream_reply_mismatch, stream_rule,
                                         stream_unsolicited)
-from lansight.streaming.runner import microbatch_alerts, replay
+from lansight.streaming.runner import microbatch_alerts, replay, time_slices
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -194,9 +194,9 @@ def q_sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-microbatch")
-    # contiguous time ranges per file, like a rolling capture; one file per micro-batch
-    raw = raw_packets(spark, sf_dir)
-    csv.write_csv(raw.repartitionByRange(8, raw["`frame.time_epoch`"]), f"{root}/inbox")
+    # contiguous, exact time ranges per file, like a rolling capture; one file per micro-batch
+    for part in time_slices(raw_packets(spark, sf_dir), 8):
+        csv.write_csv(part, f"{root}/inbox")
     with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
         q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
                               f"{root}/out", f"{root}/checkpoint")
