@@ -188,6 +188,8 @@ def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     per (pair, covered second) first, so a request burst never fans out, and
     the join key includes the second, so a hot pair's replies spread over its
     seconds (a coarser time bucket would gather a minute of them in one task)."""
+    if cfg.time_precision != "seconds":
+        raise ValueError("request_reply_match counts whole-second event time")
     L = cfg.unsolicited_lookback
     sec = F.unix_seconds(c("event_ts"))
     cov = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()
