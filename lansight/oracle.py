@@ -514,5 +514,6 @@ ORACLES: dict[str, str] = {
     "stream_reply_mismatch": _full(sql_reply_mismatch()),
     "stream_unsolicited": _full(sql_unsolicited()),
     "stream_ip_mac_remap": _full(sql_ip_mac_remap()),
+    "stream_alerts": _full(sql_alerts()),
 }
 ORACLES = {k: v for k, v in ORACLES.items() if v is not None}

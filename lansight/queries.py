@@ -23,8 +23,8 @@ from lansight.schema import ENRICHED_COLUMNS
 from lansight.session import at_boundary, scratch_path, session_conf, state_partitions
 from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
-from lansight.streaming.compile import (packet_stream, stream_ip_mac_remap, stream_reply_mismatch, stream_rule,
-                                        stream_unsolicited)
+from lansight.streaming.compile import (packet_stream, stream_alerts, stream_ip_mac_remap, stream_reply_mismatch,
+                                        stream_rule, stream_unsolicited)
 from lansight.streaming.runner import microbatch_alerts, replay, time_slices
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -166,9 +166,9 @@ QUERIES: dict[str, QueryFn] = {
 
 # --- streaming ----------------------------------------------------------------
 
-def _stream_query(name: str, build) -> QueryFn:
+def _stream_query(name: str, build, slices: int = 4) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out, _ = replay(spark, raw_packets(spark, sf_dir), build, name)
+        out, _ = replay(spark, raw_packets(spark, sf_dir), build, name, slices=slices)
         return at_boundary(out)
     return run
 
@@ -218,6 +218,7 @@ def _register_streaming() -> None:
         "stream_reply_mismatch": _stream_query("reply-mismatch", lambda s: stream_reply_mismatch(packet_stream(s))),
         "stream_unsolicited": _stream_query("unsolicited", lambda s: stream_unsolicited(packet_stream(s))),
         "stream_microbatch": q_stream_microbatch,
+        "stream_alerts": _stream_query("alerts", lambda s: stream_alerts(packet_stream(s)), slices=2),
         "stream_ip_mac_remap": _stream_query("ip-mac-remap", lambda s: stream_ip_mac_remap(packet_stream(s))),
     })
 
