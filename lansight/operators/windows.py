@@ -130,7 +130,10 @@ def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule], stream: boo
     level1_aggs = []
     for i, r in enumerate(rules):
         hit = F.lit(True) if single else F.coalesce(r.where(), F.lit(False))
-        level1_aggs.append(F.count_if(hit).alias(f"_n{i}") if not single else F.count(F.lit(1)).alias(f"_n{i}"))
+        # count(when(..)) rather than count_if: count_if's rewrite carries per-instance
+        # expression ids, which would stop Spark from seeing the family branches as equal
+        level1_aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"_n{i}") if not single
+                           else F.count(F.lit(1)).alias(f"_n{i}"))
         if any(m.kind == "first" for m in r.measures):
             level1_aggs.append(F.min(F.when(hit, ts)).alias(f"_f{i}"))
         if any(m.kind == "last" for m in r.measures):
@@ -146,8 +149,16 @@ def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule], stream: boo
     level1 = base.groupBy(lead.window().alias("window"), F.col(lead.key), *[F.col(c) for c in dcols]).agg(*level1_aggs)
 
     out: dict[str, DataFrame] = {}
+    # every rule's branch references all level-1 columns (the total is always >= the
+    # rule's own count), so column pruning leaves the same level-1 plan in each
+    # branch and Spark computes and shuffles it once for the whole family
+    total = None
+    for f in level1.columns:
+        if f.startswith(("_n", "_f", "_l")):
+            term = F.col(f) if f.startswith("_n") else F.when(F.col(f).isNull(), 0).otherwise(0)
+            total = term if total is None else total + term
     for i, r in enumerate(rules):
-        rows = level1 if single else level1.filter(F.col(f"_n{i}") > 0)
+        rows = level1 if single else level1.filter((F.col(f"_n{i}") > 0) & (total >= F.col(f"_n{i}")))
         aggs = []
         for m in r.measures:
             if m.kind == "count":

@@ -41,3 +41,17 @@ def test_rule_filters_reach_the_parquet_scan(spark, raw_df):
     # column pruning: the flood rule reads 4 of the 9 capture columns
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "arp.isgratuitous" not in read_schema and "arp.src.hw_mac" not in read_schema
+
+
+def test_identity_family_shares_one_level1_shuffle(spark, packets):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from lansight.session import session_conf
+
+    fam = rules.detect_identity_family(packets(_rows()))
+    u = reduce(DataFrame.unionByName, [d.selectExpr("window_start") for d in fam.values()])
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = _plan(u)
+    assert plan.count("Scan ") == 1 and plan.count("ReusedExchange") == 2
