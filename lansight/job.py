@@ -20,6 +20,7 @@ if __package__ in (None, ""):
 from lansight.config import DEFAULT, ArpConfig  # noqa: E402
 from lansight.functions.normalize import enrich  # noqa: E402
 from lansight.operators import rules  # noqa: E402
+from lansight.operators.windows import family_finish, family_level1  # noqa: E402
 from lansight.plans import report  # noqa: E402
 from lansight.plans.batch import run_batch  # noqa: E402
 from lansight.session import build_session, shared_dir  # noqa: E402
@@ -38,8 +39,14 @@ def run_batch_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, from_arch
     silver = inp if from_archive else f"{out}/archive"
     if not from_archive:
         archive.write_archive(csv.read_csv_batch(spark, inp), silver, mode="overwrite")
-    res = run_batch(enrich(archive.read_archive(spark, silver), cfg), cfg)
-    for name, df in res.detections.items():
+    packets = enrich(archive.read_archive(spark, silver), cfg)
+    detections = run_batch(packets, cfg).detections
+    # the three identity rules share one level-1 aggregate: write it once (small,
+    # pre-aggregated) and finish the three detections from the written table
+    fam = rules.identity_rules(cfg)
+    family_level1(packets, fam).write.mode("overwrite").parquet(f"{out}/_stage/identity_level1")
+    detections.update(family_finish(spark.read.parquet(f"{out}/_stage/identity_level1"), fam))
+    for name, df in detections.items():
         df.write.mode("overwrite").parquet(f"{out}/detections/{name}")
     # the alert table is rebuilt from the written detections, so no rule runs twice
     written = {n: spark.read.parquet(f"{out}/detections/{n}") for n, _ in report.DETECTORS}

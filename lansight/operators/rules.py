@@ -270,9 +270,14 @@ def detect_ip_flipping(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     return compile_batch(df, ip_flipping_rule(cfg))
 
 
+def identity_rules(cfg: ArpConfig = DEFAULT) -> list[WindowRule]:
+    """Same window and key, one family."""
+    return [mac_flipping_rule(cfg), ip_flipping_rule(cfg), impersonation_rule(cfg)]
+
+
 def detect_identity_family(df: DataFrame, cfg: ArpConfig = DEFAULT) -> dict[str, DataFrame]:
     """A3, A4 and A6 over one shared level-1 aggregate (one shuffle of the packets)."""
-    return compile_batch_family(df, [mac_flipping_rule(cfg), ip_flipping_rule(cfg), impersonation_rule(cfg)])
+    return compile_batch_family(df, identity_rules(cfg))
 
 
 def detect_garp_storm(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:

@@ -114,15 +114,27 @@ def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule], stream: boo
     ``stream``: level 2 avoids ``count(distinct)`` (refused on streams)."""
     if not rules:
         return {}
-    fam = {_family_key(r) for r in rules}
-    if len(fam) != 1:
-        raise ValueError("rules of one family must share window, slide, key and time column")
-    lead = rules[0]
+    return family_finish(family_level1(df, rules), rules, stream)
+
+
+def _family_dcols(rules: Sequence[WindowRule]) -> list[str]:
     dcols: list[str] = []
     for r in rules:
         for c in r.distinct_cols:
             if c not in dcols:
                 dcols.append(c)
+    return dcols
+
+
+def family_level1(df: DataFrame, rules: Sequence[WindowRule]) -> DataFrame:
+    """Level 1 of a rule family: (window, key, distinct columns) with per-rule
+    counts and first/last times.  Small next to the packets, so a job can write
+    it once as a table and finish every rule of the family from it."""
+    fam = {_family_key(r) for r in rules}
+    if len(fam) != 1:
+        raise ValueError("rules of one family must share window, slide, key and time column")
+    lead = rules[0]
+    dcols = _family_dcols(rules)
     ts = F.col(lead.time_col)
     single = len(rules) == 1
 
@@ -146,8 +158,13 @@ def compile_batch_family(df: DataFrame, rules: Sequence[WindowRule], stream: boo
             cond = F.coalesce(r.where(), F.lit(False))
             any_hit = cond if any_hit is None else (any_hit | cond)
         base = df.filter(any_hit)
-    level1 = base.groupBy(lead.window().alias("window"), F.col(lead.key), *[F.col(c) for c in dcols]).agg(*level1_aggs)
+    return base.groupBy(lead.window().alias("window"), F.col(lead.key), *[F.col(c) for c in dcols]).agg(*level1_aggs)
+
 
+def family_finish(level1: DataFrame, rules: Sequence[WindowRule], stream: bool = False) -> dict[str, DataFrame]:
+    """Level 2 and the projection of every rule of a family, from its level 1."""
+    dcols = _family_dcols(rules)
+    single = len(rules) == 1
     out: dict[str, DataFrame] = {}
     # every rule's branch references all level-1 columns (the total is always >= the
     # rule's own count), so column pruning leaves the same level-1 plan in each
