@@ -37,11 +37,15 @@ def ip_mac_remap(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int =
                            F.floor(c("epoch_ts") / F.lit(float(bucket_seconds))).alias("bucket"))
     in_bucket = Window.partitionBy("ip", "bucket").orderBy("epoch_ts", "mac")
     whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # a bucket's first claim is the one without a predecessor (claims always have an
+    # epoch); testing that instead of row_number() = 1 keeps both branches below on
+    # the same plan, so the packets are scanned and shuffled once
     ev = ev.select("*", F.lag("mac").over(in_bucket).alias("prev_mac"),
-                   F.row_number().over(in_bucket).alias("rn"), F.last("mac").over(whole_bucket).alias("bucket_last"))
-    firsts = ev.filter(c("rn") == 1).withColumn(
+                   F.lag("epoch_ts").over(in_bucket).alias("prev_epoch"),
+                   F.last("mac").over(whole_bucket).alias("bucket_last"))
+    firsts = ev.filter(c("prev_epoch").isNull()).withColumn(
         "prev_mac", F.lag("bucket_last").over(Window.partitionBy("ip").orderBy("bucket")))
-    both = ev.filter(c("rn") > 1).unionByName(firsts)
+    both = ev.filter(c("prev_epoch").isNotNull()).unionByName(firsts)
     return both.filter(c("prev_mac").isNotNull() & (c("prev_mac") != c("mac"))).select(
         "event_ts", "ip", c("prev_mac").alias("previous_mac"), c("mac").alias("new_mac"), "eth_src",
         F.lit("IP-MAC remap").alias("heuristic"))

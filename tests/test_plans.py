@@ -55,3 +55,14 @@ def test_identity_family_shares_one_level1_shuffle(spark, packets):
     with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
         plan = _plan(u)
     assert plan.count("Scan ") == 1 and plan.count("ReusedExchange") == 2
+
+
+def test_remap_scans_and_shuffles_its_input_once(spark, packets):
+    from lansight.operators import history
+    from lansight.session import session_conf
+
+    rows = [pkt(BASE + i, opcode=2, src_mac=f"02:00:00:00:00:0{i % 3}") for i in range(30)]
+    df = history.ip_mac_remap(packets(rows))
+    with session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = _plan(df)
+    assert plan.count("Scan ") == 1 and plan.count("ReusedExchange") == 1
