@@ -69,7 +69,10 @@ def alert_projection(name: str, df: DataFrame) -> DataFrame:
 def alerts_unified(detections: dict[str, DataFrame]) -> DataFrame:
     """Every detection as (detector, ts, entity, metric, detail)."""
     parts = [alert_projection(name, detections[name]) for name, _ in DETECTORS if name in detections]
-    return reduce(DataFrame.unionByName, parts)
+    # balanced union tree: each union step re-checks only its two subtrees
+    while len(parts) > 1:
+        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def _counts_row(alerts: DataFrame) -> DataFrame:

@@ -98,6 +98,8 @@ def state_partitions(spark: SparkSession) -> int:
 
 def at_boundary(df: DataFrame) -> DataFrame:
     """Convert TIMESTAMP columns to TIMESTAMP_NTZ holding UTC wall time (driver contract)."""
+    if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):
+        return df  # nothing to convert: no extra projection
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, TimestampType):
