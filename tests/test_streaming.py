@@ -87,3 +87,12 @@ def test_late_rows_are_dropped(spark):
         q.awaitTermination()
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
     assert dropped == 1
+
+
+def test_live_alert_table_equals_batch(spark):
+    from lansight.plans import batch
+
+    raw = _capture(spark)
+    out, _ = replay(spark, raw, lambda s: sc.stream_alerts(sc.packet_stream(s)), "alerts", slices=2)
+    want = batch.run_batch(enrich(raw)).alerts
+    assert want.count() > 0 and _same(out.select(*want.columns), want)
