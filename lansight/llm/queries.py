@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lansight.llm.common import table
 from lansight.llm.line_dedup import op4_line_dedup
 from lansight.llm.mixing import op2_mixing
+from lansight.llm.near_dedup import op5_near_dedup
 from lansight.llm.quality_rules import op9_quality_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,5 +24,6 @@ def _on(name: str, op: Callable[[DataFrame], DataFrame]) -> QueryFn:
 LLM_QUERIES: dict[str, QueryFn] = {
     "op2_mixing": _on("documents", op2_mixing),
     "op4_line_dedup": _on("documents", op4_line_dedup),
+    "op5_near_dedup": _on("documents", op5_near_dedup),
     "op9_quality_rules": _on("documents", op9_quality_rules),
 }
