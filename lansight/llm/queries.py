@@ -11,6 +11,7 @@ from lansight.llm.line_dedup import op4_line_dedup
 from lansight.llm.mixing import op2_mixing
 from lansight.llm.near_dedup import op5_near_dedup
 from lansight.llm.quality_rules import op9_quality_rules
+from lansight.llm.sentencepiece_codec import op8_sentencepiece
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,5 +26,6 @@ LLM_QUERIES: dict[str, QueryFn] = {
     "op2_mixing": _on("documents", op2_mixing),
     "op4_line_dedup": _on("documents", op4_line_dedup),
     "op5_near_dedup": _on("documents", op5_near_dedup),
+    "op8_sentencepiece": _on("documents", op8_sentencepiece),
     "op9_quality_rules": _on("documents", op9_quality_rules),
 }
