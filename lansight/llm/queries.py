@@ -12,6 +12,7 @@ from lansight.llm.mixing import op2_mixing
 from lansight.llm.near_dedup import op5_near_dedup
 from lansight.llm.quality_rules import op9_quality_rules
 from lansight.llm.sentencepiece_codec import op8_sentencepiece
+from lansight.llm.toxicity import op7_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +23,17 @@ def _on(name: str, op: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return run
 
 
+def _labelled(op: Callable[[DataFrame, DataFrame], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return run
+
+
 LLM_QUERIES: dict[str, QueryFn] = {
     "op2_mixing": _on("documents", op2_mixing),
     "op4_line_dedup": _on("documents", op4_line_dedup),
     "op5_near_dedup": _on("documents", op5_near_dedup),
+    "op7_toxicity": _labelled(op7_toxicity),
     "op8_sentencepiece": _on("documents", op8_sentencepiece),
     "op9_quality_rules": _on("documents", op9_quality_rules),
 }
