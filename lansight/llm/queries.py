@@ -10,6 +10,7 @@ from lansight.llm.common import table
 from lansight.llm.line_dedup import op4_line_dedup
 from lansight.llm.mixing import op2_mixing
 from lansight.llm.near_dedup import op5_near_dedup
+from lansight.llm.quality_crf import op10_quality_crf
 from lansight.llm.quality_rules import op9_quality_rules
 from lansight.llm.sentencepiece_codec import op8_sentencepiece
 from lansight.llm.toxicity import op7_toxicity
@@ -36,4 +37,5 @@ LLM_QUERIES: dict[str, QueryFn] = {
     "op7_toxicity": _labelled(op7_toxicity),
     "op8_sentencepiece": _on("documents", op8_sentencepiece),
     "op9_quality_rules": _on("documents", op9_quality_rules),
+    "op10_quality_crf": _labelled(op10_quality_crf),
 }
