@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lansight.llm.chat_format import AFTER_ROLE, END, ESCAPES, ROLE_ESCAPES, START, ChatRules
 from lansight.llm.line_dedup import LineRules
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -22,6 +23,47 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY r, doc_id
 """
 
+_CHAT = ChatRules()
+
+
+def _escaped_length(column: str, pairs) -> str:
+    for plain, coded in pairs:
+        column = f"replace({column}, '{plain}', '{coded}')"
+    return f"length({column})"
+
+
+CHAT_FORMAT = f"""
+WITH every AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS seq FROM every),
+sized AS (SELECT *, seq = 1 AND role = '{_CHAT.system_role}' AS is_system,
+                 len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) + {_CHAT.turn_overhead} AS tokens,
+                 {len(START) + len(AFTER_ROLE) + len(END)} + {_escaped_length('role', ROLE_ESCAPES)}
+                   + {_escaped_length('text', ESCAPES)} AS chars FROM numbered),
+owned AS (SELECT *, CASE WHEN is_system THEN 0 ELSE tokens END AS own,
+                 max(CASE WHEN is_system THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS sys FROM sized),
+roomy AS (SELECT *, greatest(1, {_CHAT.budget - _CHAT.history_budget} - sys
+                                - max(own) OVER (PARTITION BY conv_id)) AS room,
+                 sum(own) OVER (PARTITION BY conv_id ORDER BY seq) - own AS before FROM owned),
+spans AS (SELECT *, before // room AS span FROM roomy),
+carried AS (SELECT *, NOT is_system AND row_number() OVER back <= {_CHAT.history_turns}
+                      AND sum(tokens) OVER back <= {_CHAT.history_budget}
+                      AND span < max(span) OVER (PARTITION BY conv_id) AS carry,
+                   count(DISTINCT span) OVER (PARTITION BY conv_id) AS n_windows
+            FROM spans WINDOW back AS (PARTITION BY conv_id, span ORDER BY seq DESC))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = '{_CHAT.target_role}'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY seq) FILTER (role = '{_CHAT.target_role}'), '')) AS loss_sha256,
+       sum(chars + CASE WHEN carry THEN chars ELSE 0 END
+           + CASE WHEN is_system THEN chars * (n_windows - 1) ELSE 0 END)::BIGINT AS formatted_chars,
+       max(n_windows)::BIGINT AS n_windows
+FROM carried GROUP BY conv_id
+"""
+
 LLM_ORACLES = {
+    "op3_chat_format": CHAT_FORMAT,
     "op4_line_dedup": LINE_DEDUP,
 }

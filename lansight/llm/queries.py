@@ -6,6 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lansight.llm.chat_format import op3_chat_format
 from lansight.llm.common import table
 from lansight.llm.line_dedup import op4_line_dedup
 from lansight.llm.mixing import op2_mixing
@@ -32,6 +33,7 @@ def _labelled(op: Callable[[DataFrame, DataFrame], DataFrame]) -> QueryFn:
 
 LLM_QUERIES: dict[str, QueryFn] = {
     "op2_mixing": _on("documents", op2_mixing),
+    "op3_chat_format": _on("conversations", op3_chat_format),
     "op4_line_dedup": _on("documents", op4_line_dedup),
     "op5_near_dedup": _on("documents", op5_near_dedup),
     "op7_toxicity": _labelled(op7_toxicity),
