@@ -11,6 +11,7 @@ from lansight.llm.common import table
 from lansight.llm.line_dedup import op4_line_dedup
 from lansight.llm.mixing import op2_mixing
 from lansight.llm.near_dedup import op5_near_dedup
+from lansight.llm.pii import op6_pii
 from lansight.llm.quality_crf import op10_quality_crf
 from lansight.llm.quality_rules import op9_quality_rules
 from lansight.llm.sentencepiece_codec import op8_sentencepiece
@@ -36,6 +37,7 @@ LLM_QUERIES: dict[str, QueryFn] = {
     "op3_chat_format": _on("conversations", op3_chat_format),
     "op4_line_dedup": _on("documents", op4_line_dedup),
     "op5_near_dedup": _on("documents", op5_near_dedup),
+    "op6_pii": _on("documents", op6_pii),
     "op7_toxicity": _labelled(op7_toxicity),
     "op8_sentencepiece": _on("documents", op8_sentencepiece),
     "op9_quality_rules": _on("documents", op9_quality_rules),
