@@ -15,6 +15,7 @@ from lansight.llm.pii import op6_pii
 from lansight.llm.quality_crf import op10_quality_crf
 from lansight.llm.quality_rules import op9_quality_rules
 from lansight.llm.sentencepiece_codec import op8_sentencepiece
+from lansight.llm.topk_search import op1_topk_search
 from lansight.llm.toxicity import op7_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,7 @@ def _labelled(op: Callable[[DataFrame, DataFrame], DataFrame]) -> QueryFn:
 
 
 LLM_QUERIES: dict[str, QueryFn] = {
+    "op1_topk_search": _on("documents", op1_topk_search),
     "op2_mixing": _on("documents", op2_mixing),
     "op3_chat_format": _on("conversations", op3_chat_format),
     "op4_line_dedup": _on("documents", op4_line_dedup),
