@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lansight.llm.common import materialize, table
 from lansight.llm.line_dedup import dedup_lines
+from lansight.llm.mixing import MixRules, mix_documents
+from lansight.llm.near_dedup import keep_one
 from lansight.llm.quality_rules import keep_good
+from lansight.llm.sentencepiece_codec import encode_documents
 from lansight.session import scratch_path
 
 
@@ -20,9 +23,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).drop("lines")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return keep_one(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks of words drawn to the sources' target weights: a row per drawn part of a document, which
+    keeps the document's id, language and source, and comes as often as the mix takes it."""
+    return mix_documents(docs, MixRules(block_words=256))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix's rows as token ids, with their number and whether decoding gave the text back."""
+    return encode_documents(docs, carry=("doc_id", "lang", "source")).drop("ids_sha256")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("sentencepiece", sentencepiece),
 ]
 
 # Compression ratios and a tokenizer's model are outside SQL.
