@@ -98,7 +98,8 @@ class Mix:
             self.docs.groupBy("src", "absent", "h").agg(F.sum("size").alias("words")), f"{here}/buckets")
         sizes = self.buckets.groupBy("src", "absent").agg(F.sum("words").alias("source_size"))
         n = F.ceil(F.col("source_size") / rules.block_words)
-        quota = F.least(n * rules.max_epochs, F.round(F.col("target") / F.col("source_size") * n).cast("long"))
+        quota = F.least(n * rules.max_epochs, F.round(
+            F.try_divide(F.col("target"), F.col("source_size")) * n).cast("long"))
         sources = source_targets(sizes, rules).withColumn("n_blocks", n) \
             .withColumn("quota", F.coalesce(quota, F.lit(0)))
         self.sources = materialize(
