@@ -1,11 +1,11 @@
 """Column-level functions (pure expressions, JVM-side)."""
 
 from lansight.functions.normalize import enrich, gratuitous_flag, mac_canonical, opcode_label
-from lansight.functions.timefn import epoch_to_event_ts, second_string, to_ntz
+from lansight.functions.timefn import event_ts_sql, second_string, to_ntz
 
 __all__ = [
     "enrich",
-    "epoch_to_event_ts",
+    "event_ts_sql",
     "gratuitous_flag",
     "mac_canonical",
     "opcode_label",

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lansight.config import DEFAULT, ArpConfig
+from lansight.functions.timefn import event_ts_sql
 from lansight.schema import BROADCAST_MAC, TRUE_SPELLINGS, ZERO_MAC
 
 
@@ -37,12 +38,7 @@ def _sql_list(values) -> str:
 
 def enrich_exprs(precision: str = "seconds") -> list[str]:
     """The normalisation as SQL expressions over the raw dotted columns."""
-    if precision == "seconds":
-        event_ts = "timestamp_seconds(try_cast(try_cast(`frame.time_epoch` AS DOUBLE) AS BIGINT))"
-    elif precision == "micros":
-        event_ts = "timestamp_micros(try_cast(try_cast(`frame.time_epoch` AS DOUBLE) * 1000000 AS BIGINT))"
-    else:
-        raise ValueError(f"unknown time precision {precision!r}")
+    event_ts = event_ts_sql("`frame.time_epoch`", precision)
     eth_src, eth_dst = "lower(trim(`eth.src`))", "lower(trim(`eth.dst`))"
     opcode, src_mac = "try_cast(`arp.opcode` AS INT)", "lower(trim(`arp.src.hw_mac`))"
     return [

@@ -6,23 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def epoch_to_event_ts(epoch: Column, precision: str = "seconds") -> Column:
-    """Epoch seconds (double) -> TIMESTAMP.
+# First and last second of the TIMESTAMP range (years 1 to 9999).
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def clean_epoch_sql(epoch: str) -> str:
+    """Epoch seconds as a DOUBLE inside the timestamp range; null for anything else
+    (unparsable text, NaN, infinities, microseconds taken for seconds)."""
+    value = f"try_cast({epoch} AS DOUBLE)"
+    return f"CASE WHEN {value} BETWEEN {FIRST_SECOND} AND {LAST_SECOND} THEN {value} END"
+
+
+def event_ts_sql(epoch: str, precision: str = "seconds") -> str:
+    """Epoch seconds -> TIMESTAMP, null outside its range.
 
     ``seconds`` drops the fraction (the reference's behaviour); ``micros`` keeps it.
-    NaN, infinities and unparsable values become null instead of failing the job.
     """
+    clean = clean_epoch_sql(epoch)
     if precision == "seconds":
-        return F.timestamp_seconds(_try_bigint(epoch))
+        return f"timestamp_seconds(CAST({clean} AS BIGINT))"
     if precision == "micros":
-        return F.timestamp_micros(_try_bigint(epoch * F.lit(1_000_000)))
+        return f"timestamp_micros(CAST(({clean}) * 1000000 AS BIGINT))"
     raise ValueError(f"unknown time precision {precision!r}")
 
 
-def _try_bigint(c: Column) -> Column:
-    return c.try_cast("bigint")
-
-
 def to_ntz(ts: Column) -> Column:
     """TIMESTAMP -> TIMESTAMP_NTZ holding the UTC wall clock, for any session zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

@@ -1,9 +1,11 @@
 """spark-submit entry point.
 
 batch:  CSV folder -> Parquet archive (date-partitioned) -> every detection, the
-        alert table, the per-detector summary and the threat score as Parquet.
-stream: CSV folder (or Kafka) as a stream -> one stateful query per detector,
-        each with its own Parquet sink and checkpoint, until stopped.
+        alert table, the per-detector summary, the threat score, the traffic profile
+        and the lines that did not parse, as Parquet.
+stream: CSV folder (or Kafka) as a stream -> one stateful query per detector and one
+        for IP-MAC remaps, each with its own Parquet sink, until stopped.  Checkpoints
+        belong to the output: they lie in its ``_checkpoints`` folder.
 
     spark-submit lansight/job.py --mode batch --input s3://.../captures --output s3://.../arp
 """
@@ -23,22 +25,19 @@ from lansight.operators import rules  # noqa: E402
 from lansight.operators.windows import family_finish, family_level1  # noqa: E402
 from lansight.plans import report  # noqa: E402
 from lansight.plans.batch import run_batch  # noqa: E402
-from lansight.session import build_session, shared_dir  # noqa: E402
+from lansight.operators import traffic  # noqa: E402
+from lansight.session import build_session  # noqa: E402
 from lansight.sources import archive, csv, messages  # noqa: E402
 from lansight.streaming import compile as sc  # noqa: E402
-from lansight.schema import RAW_SCHEMA  # noqa: E402
 from lansight.streaming.runner import await_and_stop  # noqa: E402
 from lansight.streaming.sinks import file_sink  # noqa: E402
 
-from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
-
-RAW_SCHEMA_WITH_DATE = StructType(RAW_SCHEMA.fields + [StructField("date", StringType(), True)])
-
 
 def run_batch_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, from_archive: bool = False) -> None:
     silver = inp if from_archive else f"{out}/archive"
     if not from_archive:
-        archive.write_archive(csv.read_csv_batch(spark, inp), silver, mode="overwrite")
+        archive.write_archive(csv.read_csv_batch(spark, inp, keep_corrupt=True), silver, mode="overwrite")
+    archive.read_corrupt(spark, silver).write.mode("overwrite").parquet(f"{out}/corrupt")
     packets = enrich(archive.read_archive(spark, silver), cfg)
     detections = run_batch(packets, cfg).detections
     # the three identity rules share one level-1 aggregate: write it once (small,
@@ -55,18 +54,21 @@ def run_batch_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, from_arch
     alerts = spark.read.parquet(f"{out}/alerts")
     report.detection_status(alerts).write.mode("overwrite").parquet(f"{out}/summary")
     report.threat_score(alerts, cfg).write.mode("overwrite").parquet(f"{out}/threat")
+    for name, df in traffic.profile(packets).items():
+        df.write.mode("overwrite").parquet(f"{out}/profile/{name}")
 
 
 def run_stream_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, kafka: bool = False,
                    timeout: float | None = None, once: bool = False) -> list:
     """Ingest the source once into a date-partitioned Parquet stream ("silver"),
     then run every detector as its own stateful query over the silver stream,
-    each with its own checkpoint under ``spark.checkpoint.dir``.
+    each with its own checkpoint in the output's ``_checkpoints`` folder: another
+    output starts afresh, the same output goes on where it stopped.
 
     ``once``: process what is there (``availableNow``) and return, for batch-like
     scheduled runs; state and offsets carry over to the next run."""
     raw = messages.read_kafka_stream(spark, cfg) if kafka else csv.read_csv_stream(spark, inp, cfg)
-    ckpt = f"{shared_dir(spark)}/lansight-stream"
+    ckpt = f"{out}/_checkpoints"
     silver = f"{out}/silver"
     ingest = file_sink(raw.withColumn("date", archive.capture_date(raw)), silver, f"{ckpt}/ingest",
                        name="ingest", partition_by=("date",))
@@ -77,11 +79,12 @@ def run_stream_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, kafka: b
     else:
         while q_ingest.isActive and q_ingest.lastProgress is None:
             q_ingest.awaitTermination(1)
-    silver_stream = spark.readStream.schema(RAW_SCHEMA_WITH_DATE).parquet(silver)
+    silver_stream = spark.readStream.schema(archive.SILVER_SCHEMA).parquet(silver)
     packets = sc.packet_stream(silver_stream, cfg)
     outputs = {r.name: sc.stream_rule(packets, r) for r in rules.standard_rules(cfg)}
     outputs["spoof_reply_mismatch"] = sc.stream_reply_mismatch(packets, cfg)
     outputs["unsolicited"] = sc.stream_unsolicited(packets, cfg)
+    outputs["ip_mac_remap"] = sc.stream_ip_mac_remap(packets, cfg)
     queries = []
     for name, df in outputs.items():
         w = file_sink(df, f"{out}/detections/{name}", f"{ckpt}/{name}", name=name)
@@ -94,6 +97,26 @@ def run_stream_job(spark, inp: str, out: str, cfg: ArpConfig = DEFAULT, kafka: b
     return queries
 
 
+def config_from(settings: list[str], base: ArpConfig = DEFAULT) -> ArpConfig:
+    """``base`` with NAME=VALUE settings, each read as its field's type."""
+    changes: dict = {}
+    weights = dict(base.threat_weights)
+    for setting in settings:
+        name, eq, value = setting.partition("=")
+        if name.startswith("threat_weights."):
+            weight = name.removeprefix("threat_weights.")
+            if weight not in weights or not eq:
+                raise ValueError(f"no such weight: {setting!r}")
+            weights[weight] = int(value)
+            changes["threat_weights"] = weights
+            continue
+        if name not in base.__dataclass_fields__ or name == "threat_weights" or not eq:
+            raise ValueError(f"no such setting: {setting!r}")
+        kind = type(getattr(base, name))
+        changes[name] = value.lower() in ("1", "true", "yes") if kind is bool else kind(value)
+    return base.with_(**changes)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="ARP anomaly detection on Spark")
     ap.add_argument("--mode", choices=("batch", "stream"), default="batch")
@@ -105,15 +128,19 @@ def main(argv=None) -> None:
     ap.add_argument("--once", action="store_true", help="stream mode: process what is there and stop")
     ap.add_argument("--master", default=None)
     ap.add_argument("--show", action="store_true", help="batch mode: print the 9-row summary and the score")
+    ap.add_argument("--set", action="append", default=[], metavar="NAME=VALUE",
+                    help="a field of the configuration, such as flood_requests=80 or max_files_per_trigger=20; "
+                         "threat_weights.NAME=VALUE for a weight")
     a = ap.parse_args(argv)
+    cfg = config_from(a.set)
     spark = build_session("lansight-job", master=a.master)
     if a.mode == "batch":
-        run_batch_job(spark, a.input, a.output, from_archive=a.from_archive)
+        run_batch_job(spark, a.input, a.output, cfg, from_archive=a.from_archive)
         if a.show:  # K4: nine summary rows and one score row are all that reach the driver
             spark.read.parquet(f"{a.output}/summary").show(truncate=False)
             spark.read.parquet(f"{a.output}/threat").show(truncate=False)
     else:
-        run_stream_job(spark, a.input, a.output, kafka=a.kafka, timeout=a.timeout, once=a.once)
+        run_stream_job(spark, a.input, a.output, cfg, kafka=a.kafka, timeout=a.timeout, once=a.once)
 
 
 if __name__ == "__main__":

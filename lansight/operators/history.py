@@ -28,14 +28,14 @@ def claims(df: DataFrame) -> DataFrame:
 def ip_mac_remap(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int = 3600) -> DataFrame:
     """Claims whose MAC differs from the previous claim for the same IP.
 
-    Order within an IP is (epoch_ts, arp_src_mac).  One window pass over
+    Order within an IP is (epoch_ts, arp_src_mac, eth_src).  One window pass over
     (ip, bucket) gives each claim's previous MAC inside its bucket and the
     bucket's last MAC; the first claim of a bucket takes the last MAC of the
     IP's previous non-empty bucket (a ``lag`` over one row per bucket)."""
     ev = claims(df).select("event_ts", "epoch_ts", "eth_src", c("arp_src_ip").alias("ip"),
                            c("arp_src_mac").alias("mac"),
                            F.floor(c("epoch_ts") / F.lit(float(bucket_seconds))).alias("bucket"))
-    in_bucket = Window.partitionBy("ip", "bucket").orderBy("epoch_ts", "mac")
+    in_bucket = Window.partitionBy("ip", "bucket").orderBy("epoch_ts", "mac", F.asc_nulls_first("eth_src"))
     whole_bucket = in_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a bucket's first claim is the one without a predecessor (claims always have an
     # epoch); testing that instead of row_number() = 1 keeps both branches below on

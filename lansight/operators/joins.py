@@ -129,13 +129,20 @@ def unsolicited_bitmask(df: DataFrame, cfg: ArpConfig = DEFAULT, width: int = 60
 
 
 def unsolicited_asof(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int | None = None) -> DataFrame:
-    lb_us = cfg.unsolicited_lookback * 1_000_000
-    b_us = max(bucket_seconds or 4 * cfg.unsolicited_lookback, cfg.unsolicited_lookback, 1) * 1_000_000
+    return _unsolicited_out(_orphans_asof(df, cfg.unsolicited_lookback, bucket_seconds=bucket_seconds))
+
+
+def _orphans_asof(df: DataFrame, lookback: int, requester: str = "arp_src_ip", rep_dst: str = "rep_dst_ip",
+                  inclusive: bool = True, bucket_seconds: int | None = None) -> DataFrame:
+    """Replies without a request in the look-back, for any look-back and precision.  The exclusive form
+    leaves out a request exactly ``lookback`` before."""
+    lb_us = lookback * 1_000_000 - (0 if inclusive else 1)
+    b_us = max(bucket_seconds or 4 * lookback, lookback, 1) * 1_000_000
     t = F.unix_micros(c("event_ts"))
     payload = ["rep_ts", "rep_eth_src", "rep_src_mac"]
-    req = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()
+    req = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c(requester).isNotNull()
                      & c("event_ts").isNotNull())
-           .select(c("arp_dst_ip").alias("ip_a"), c("arp_src_ip").alias("ip_b"), t.alias("t"))
+           .select(c("arp_dst_ip").alias("ip_a"), c(requester).alias("ip_b"), t.alias("t"))
            .distinct()
            .select("ip_a", "ip_b", "t",
                    F.explode(F.array_distinct(F.array(F.floor(c("t") / b_us),
@@ -143,8 +150,8 @@ def unsolicited_asof(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: in
                    F.lit(True).alias("is_req"),
                    *[F.lit(None).cast("timestamp" if p == "rep_ts" else "string").alias(p) for p in payload]))
     rep_all = _replies(df)
-    keyed = rep_all.filter(c("rep_src_ip").isNotNull() & c("rep_dst_ip").isNotNull() & c("rep_ts").isNotNull())
-    rep = keyed.select(c("rep_src_ip").alias("ip_a"), c("rep_dst_ip").alias("ip_b"),
+    keyed = rep_all.filter(c("rep_src_ip").isNotNull() & c(rep_dst).isNotNull() & c("rep_ts").isNotNull())
+    rep = keyed.select(c("rep_src_ip").alias("ip_a"), c(rep_dst).alias("ip_b"),
                        F.unix_micros(c("rep_ts")).alias("t"), F.floor(F.unix_micros(c("rep_ts")) / b_us).alias("bucket"),
                        F.lit(False).alias("is_req"), *payload)
     w = (Window.partitionBy("ip_a", "ip_b", "bucket").orderBy("t")
@@ -153,9 +160,9 @@ def unsolicited_asof(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: in
     tagged = req.unionByName(rep).withColumn("last_req", last_req)
     orphans = (tagged.filter(~c("is_req") & (c("last_req").isNull() | (c("last_req") < c("t") - lb_us)))
                .select(c("rep_ts"), c("ip_a").alias("rep_src_ip"), c("rep_eth_src"), c("rep_src_mac")))
-    unkeyed = rep_all.filter(c("rep_src_ip").isNull() | c("rep_dst_ip").isNull() | c("rep_ts").isNull()).select(
+    unkeyed = rep_all.filter(c("rep_src_ip").isNull() | c(rep_dst).isNull() | c("rep_ts").isNull()).select(
         "rep_ts", "rep_src_ip", "rep_eth_src", "rep_src_mac")
-    return _unsolicited_out(orphans.unionByName(unkeyed))
+    return orphans.unionByName(unkeyed)
 
 
 def detect_unsolicited(df: DataFrame, cfg: ArpConfig = DEFAULT, method: str | None = None) -> DataFrame:
@@ -175,11 +182,13 @@ def detect_unsolicited(df: DataFrame, cfg: ArpConfig = DEFAULT, method: str | No
 def detect_unsolicited_by_mac(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     """No request from the reply's target MAC for the reply's sender IP within
     ``unsolicited_mac_lookback`` seconds before it (strict)."""
-    if cfg.time_precision != "seconds":
-        raise ValueError("unsolicited_by_mac needs whole-second event time")
+    alert = "Unsolicited ARP reply (MAC)"
+    if cfg.time_precision != "seconds" or cfg.unsolicited_mac_lookback > 62:
+        return _unsolicited_out(_orphans_asof(df, cfg.unsolicited_mac_lookback, "eth_src", "rep_dst_mac",
+                                              inclusive=False), alert=alert)
     width = max(60, cfg.unsolicited_mac_lookback)
     cov = covered_request_buckets(df, cfg.unsolicited_mac_lookback, inclusive=False, requester="eth_src", width=width)
-    return _unsolicited_out(_anti_bitmask(_replies(df), cov, "rep_dst_mac", width), alert="Unsolicited ARP reply (MAC)")
+    return _unsolicited_out(_anti_bitmask(_replies(df), cov, "rep_dst_mac", width), alert=alert)
 
 
 def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
@@ -192,13 +201,17 @@ def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
         raise ValueError("request_reply_match counts whole-second event time")
     L = cfg.unsolicited_lookback
     sec = F.unix_seconds(c("event_ts"))
-    cov = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()
-                     & c("event_ts").isNotNull())
-           .select(c("arp_dst_ip").alias("k_src_ip"), c("arp_src_ip").alias("k_dst"), sec.alias("req_sec"),
-                   F.explode(F.sequence(sec, sec + F.lit(L))).alias("cov_sec"))
+    # one row per pair and second first, so a burst is copied to its covered seconds once
+    bursts = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()
+                        & c("event_ts").isNotNull())
+              .groupBy(c("arp_dst_ip").alias("k_src_ip"), c("arp_src_ip").alias("k_dst"), sec.alias("req_sec"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    cov = (bursts.select("k_src_ip", "k_dst", "req_sec", "n",
+                         F.explode(F.sequence(c("req_sec"), c("req_sec") + F.lit(L))).alias("cov_sec"))
            .groupBy("k_src_ip", "k_dst", "cov_sec")
-           .agg(F.count(F.lit(1)).alias("matching_requests"), F.min("req_sec").alias("f"), F.max("req_sec").alias("l")))
-    rep = _replies(df)
+           .agg(F.sum("n").alias("matching_requests"), F.min("req_sec").alias("f"), F.max("req_sec").alias("l")))
+    # replies without a full key or time match nothing
+    rep = _replies(df).filter(c("rep_src_ip").isNotNull() & c("rep_dst_ip").isNotNull() & c("rep_ts").isNotNull())
     cond = ((rep["rep_src_ip"] == cov["k_src_ip"]) & (rep["rep_dst_ip"] == cov["k_dst"])
             & (F.unix_seconds(rep["rep_ts"]) == cov["cov_sec"]))
     return rep.join(cov, cond, "inner").select(

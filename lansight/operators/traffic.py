@@ -10,7 +10,7 @@ from lansight.functions.timefn import second_string
 
 c = F.col
 
-_HOUR = 3600
+_DAY = 86_400
 
 
 def _flag(col: str):
@@ -20,16 +20,19 @@ def _flag(col: str):
 def dense_seconds(per_second: DataFrame, sec_col: str = "sec") -> DataFrame:
     """Every second between the first and last second of ``per_second``.
 
-    Generated in two steps (hours, then the seconds of each hour) behind a
-    fixed-count repartition, so a long capture is spread over all tasks instead
-    of being expanded by the single task that holds the global bounds.
+    Generated in two steps (days, then the seconds of each day) behind a
+    fixed-count repartition, so a long capture, or one wrong clock, is spread over
+    all tasks instead of being expanded by the single task that holds the bounds.
+    The bounds read every column of ``per_second``: so they keep the plan of the
+    branch that is joined to them, and the packets are scanned and shuffled once.
     """
     spark = per_second.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = per_second.agg(F.min(sec_col).alias("lo"), F.max(sec_col).alias("hi"))
-    hours = bounds.select("lo", "hi", F.explode(F.sequence(F.floor(c("lo") / _HOUR), F.floor(c("hi") / _HOUR))).alias("h"))
-    return hours.repartition(parts, "h").select(
-        F.explode(F.sequence(F.greatest(c("h") * _HOUR, c("lo")), F.least(c("h") * _HOUR + _HOUR - 1, c("hi")))).alias(sec_col))
+    row = F.struct(sec_col, *[x for x in per_second.columns if x != sec_col])
+    bounds = per_second.agg(F.min(row)[sec_col].alias("lo"), F.max(row)[sec_col].alias("hi"))
+    days = bounds.select("lo", "hi", F.explode(F.sequence(F.floor(c("lo") / _DAY), F.floor(c("hi") / _DAY))).alias("d"))
+    return days.repartition(parts, "d").select(
+        F.explode(F.sequence(F.greatest(c("d") * _DAY, c("lo")), F.least(c("d") * _DAY + _DAY - 1, c("hi")))).alias(sec_col))
 
 
 def traffic_timeline(df: DataFrame) -> DataFrame:

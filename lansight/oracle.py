@@ -307,7 +307,7 @@ _DETECTORS = (
 
 
 def _v(col: str) -> str:
-    return f"CAST({col} AS VARCHAR)"
+    return f"coalesce(CAST({col} AS VARCHAR), 'null')"
 
 
 def sql_alerts(cfg=CFG) -> str:
@@ -384,7 +384,7 @@ FROM pk WHERE {_BINDING} GROUP BY arp_src_ip"""
 def _remaps() -> str:
     return f"""(SELECT * FROM (
   SELECT event_ts, sec, arp_src_ip AS ip, arp_src_mac AS new_mac, eth_src,
-         lag(arp_src_mac) OVER (PARTITION BY arp_src_ip ORDER BY epoch_ts, arp_src_mac) AS previous_mac
+         lag(arp_src_mac) OVER (PARTITION BY arp_src_ip ORDER BY epoch_ts, arp_src_mac, eth_src NULLS FIRST) AS previous_mac
   FROM pk WHERE (is_reply OR is_gratuitous) AND {_BINDING} AND epoch_ts IS NOT NULL AND sec IS NOT NULL)
  WHERE previous_mac IS NOT NULL AND previous_mac <> new_mac)"""
 

@@ -33,10 +33,10 @@ def _s(col: str) -> Column:
 
 
 def _detail(*parts) -> Column:
-    """'a=1 b=2' text; null when any value is null."""
+    """'a=1 b=2' text; a null value reads ``null``, so the other parts stay."""
     pieces = []
     for i, (label, col) in enumerate(parts):
-        pieces += [F.lit(("" if i == 0 else " ") + label + "="), _s(col)]
+        pieces += [F.lit(("" if i == 0 else " ") + label + "="), F.coalesce(_s(col), F.lit("null"))]
     return F.concat(*pieces)
 
 
@@ -121,8 +121,9 @@ def chart_frames(detections: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The column subsets the dashboard plots (scan scatter, flood line,
     GARP bars, conflict bars) — projections only, nothing collected."""
     return {
-        "scan_scatter": detections["scanning"].select("window_start", "scanner_mac", "unique_targets"),
+        "scan_scatter": detections["scanning"].select("window_start", "window_end", "scanner_mac", "unique_targets",
+                                                    "total_requests", "targeted_ip_count"),
         "flood_line": detections["flood"].select("second", "mac", "requests_per_sec"),
-        "garp_bars": detections["garp"].select("mac", "garp_count"),
-        "conflict_bars": detections["conflict"].select("contested_ip", "claiming_mac_count"),
+        "garp_bars": detections["garp"].select("mac", "garp_count", "claimed_ip_count"),
+        "conflict_bars": detections["conflict"].select("contested_ip", "claiming_mac_count", "claim_count"),
     }

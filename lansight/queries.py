@@ -20,7 +20,7 @@ from lansight.functions.normalize import enrich, gratuitous_flag, raw
 from lansight.operators import events, features, history, inventory, joins, rules, traffic
 from lansight.plans import batch, report, sql
 from lansight.schema import ENRICHED_COLUMNS
-from lansight.session import at_boundary, scratch_path, session_conf, state_partitions
+from lansight.session import at_boundary, scratch_path
 from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
 from lansight.streaming.compile import (packet_stream, stream_alerts, stream_ip_mac_remap, stream_reply_mismatch,
@@ -196,11 +196,10 @@ def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-microbatch")
     # contiguous, exact time ranges per file, like a rolling capture; one file per micro-batch
     for part in time_slices(raw_packets(spark, sf_dir), 8):
-        csv.write_csv(part, f"{root}/inbox")
-    with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
-        q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
-                              f"{root}/out", f"{root}/checkpoint")
-        q.awaitTermination()
+        csv.write_csv(part.coalesce(1), f"{root}/inbox")  # one file, so one micro-batch, per time range
+    q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
+                          f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
     return at_boundary(spark.read.parquet(f"{root}/out"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -54,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
             base = None
     if not base:
         master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^,\]]*)?\])?", master):  # local-cluster[...] is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         base = tempfile.mkdtemp(prefix="lansight-ckpt-")
         try:
@@ -85,17 +86,6 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """State-store partitions for a new streaming query: the shuffle setting,
-    capped at the cluster's task slots (each partition opens a state store per
-    stateful operator and micro-batch).  Fixed in the checkpoint at first start."""
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:
-        slots = 200
-    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), slots))
-
-
 def at_boundary(df: DataFrame) -> DataFrame:
     """Convert TIMESTAMP columns to TIMESTAMP_NTZ holding UTC wall time (driver contract)."""
     if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):

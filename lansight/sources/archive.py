@@ -7,23 +7,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lansight.schema import RAW_COLUMNS
+from lansight.functions.timefn import clean_epoch_sql
+from lansight.schema import CORRUPT_COLUMN, RAW_COLUMNS, RAW_SCHEMA, RAW_SCHEMA_WITH_CORRUPT
+
+# an archive's schema is fixed, so reading needs no inference and an empty capture reads as no rows
+ARCHIVE_SCHEMA = StructType(RAW_SCHEMA_WITH_CORRUPT.fields + [StructField("date", StringType(), True)])
+SILVER_SCHEMA = StructType(RAW_SCHEMA.fields + [StructField("date", StringType(), True)])
 
 
 def capture_date(raw: DataFrame):
-    """UTC calendar date of the packet, independent of the session zone."""
-    days = F.floor(F.col("`frame.time_epoch`").try_cast("double") / F.lit(86400.0)).cast("int")
+    """UTC calendar date of the packet, independent of the session zone; null without a valid time."""
+    days = F.floor(F.expr(clean_epoch_sql("`frame.time_epoch`")) / F.lit(86400.0)).cast("int")
     return F.date_from_unix_date(days).cast("string")
 
 
 def write_archive(raw: DataFrame, path: str, mode: str = "append") -> None:
+    """Packets by capture date; those without a valid time have a partition of their own."""
     (raw.withColumn("date", capture_date(raw))
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
 def read_archive(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    df = spark.read.schema(ARCHIVE_SCHEMA).parquet(path)
     if dates:
         df = df.filter(F.col("date").isin(*dates))
     return df.select(*[F.col(f"`{n}`") for n in RAW_COLUMNS])
+
+
+def read_corrupt(spark: SparkSession, path: str) -> DataFrame:
+    """The capture lines that did not parse, as they were, with the date they were filed under."""
+    df = spark.read.schema(ARCHIVE_SCHEMA).parquet(path)
+    return df.where(F.col(CORRUPT_COLUMN).isNotNull()).select("date", F.col(CORRUPT_COLUMN).alias("line"))

@@ -13,7 +13,7 @@ def remap_group(key, frames, state):
     pdf = pd.concat(list(frames), ignore_index=True)
     if pdf.empty:
         return
-    pdf = pdf.sort_values(["epoch_ts", "mac"], kind="mergesort").reset_index(drop=True)
+    pdf = pdf.sort_values(["epoch_ts", "mac", "eth_src"], kind="mergesort", na_position="first").reset_index(drop=True)
     prev = pdf["mac"].shift(1)
     if state.exists:
         prev.iloc[0] = state.get[1]

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lansight.config import DEFAULT, ArpConfig
+from lansight.functions.timefn import clean_epoch_sql
 from lansight.plans import report
 from lansight.schema import RAW_SCHEMA
-from lansight.session import scratch_path, session_conf, state_partitions
+from lansight.session import scratch_path
 from lansight.sources import csv as csv_source
 from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noqa: F401  (re-exported)
 
@@ -50,7 +51,7 @@ def await_and_stop(spark: SparkSession, queries: list[StreamingQuery], timeout:
 
 def time_slices(raw: DataFrame, n: int) -> list[DataFrame]:
     """Cut raw packets into ``n`` consecutive time ranges (rows without a time go first)."""
-    sec = F.floor(F.col("`frame.time_epoch`").try_cast("double"))
+    sec = F.floor(F.expr(clean_epoch_sql("`frame.time_epoch`")))
     b = raw.agg(F.min(sec).alias("lo"), F.max(sec).alias("hi")).first()  # two numbers
     if b is None or b["lo"] is None:
         return [raw]
@@ -78,11 +79,17 @@ def end_marker(spark: SparkSession, after_epoch: float) -> DataFrame:
     return spark.createDataFrame(rows, RAW_SCHEMA)
 
 
-def drop_marker(df: DataFrame) -> DataFrame:
+def drop_marker(df: DataFrame, last_epoch: float) -> DataFrame:
+    """Without the marker's own output: rows whose time lies beyond the last packet's, by a quarter of the
+    marker's distance (windows start after it by less).  Addresses play no part; rows without a time stay."""
+    limit = F.timestamp_seconds(F.lit(int(last_epoch) + MARKER_GAP_SECONDS // 4))
     cond = F.lit(True)
     for f in df.schema.fields:
-        if f.dataType.simpleString() == "string":
-            cond = cond & ~F.coalesce(F.col(f"`{f.name}`").isin(MARKER_MAC, MARKER_IP), F.lit(False))
+        name = F.col(f"`{f.name}`")
+        if f.dataType.simpleString() == "timestamp":
+            cond = cond & F.coalesce(name < limit, F.lit(True))
+        elif f.name == "frame.time_epoch":
+            cond = cond & F.coalesce(name < F.lit(float(last_epoch + MARKER_GAP_SECONDS // 4)), F.lit(True))
     return df.filter(cond)
 
 
@@ -103,19 +110,18 @@ def replay(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], Dat
     root = scratch_path(spark, f"stream-{name}")
     rp = Replay(f"{root}/inbox", f"{root}/out", f"{root}/checkpoint", 0)
     parts = time_slices(raw, slices)
-    hi = raw.agg(F.max(F.col("`frame.time_epoch`").try_cast("double")).alias("hi")).first()["hi"] or 0.0
+    hi = raw.agg(F.max(F.expr(clean_epoch_sql("`frame.time_epoch`"))).alias("hi")).first()["hi"] or 0.0
     parts.append(end_marker(spark, hi))
-    with session_conf(spark, {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
-        for part in parts:
-            csv_source.write_csv(part, rp.inbox)
-            stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger)
-            q = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by) \
-                .trigger(availableNow=True).start()
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise RuntimeError(f"stream {name} failed: {q.exception()}")
-            rp.batches += 1
-    return drop_marker(spark.read.parquet(rp.out)), rp
+    for part in parts:
+        csv_source.write_csv(part, rp.inbox)
+        stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger)
+        q = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"stream {name} failed: {q.exception()}")
+        rp.batches += 1
+    return drop_marker(spark.read.parquet(rp.out), hi), rp
 
 
 def microbatch_alerts(spark: SparkSession, raw_stream: DataFrame, out: str, checkpoint: str,
