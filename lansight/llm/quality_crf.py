@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()
                 names=["doc_id", "quality", "lines", "bins", "weights"])
 
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "quality"))
-    shaped = rows.mapInArrow(shape, f"{kinds}, lines long, bins binary, weights binary").toPandas()
+    shaped = rows.mapInArrow(shape, f"{kinds}, lines long, bins binary, weights binary").toArrow().to_pandas()
     shaped = shaped.sort_values(list(shaped.columns))
     shaped = shaped.iloc[np.random.default_rng(1).permutation(len(shaped))]
     shaped = shaped[shaped["lines"].cumsum() <= rules.sample_lines]

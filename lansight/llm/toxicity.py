@@ -123,29 +123,30 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
     # words and contexts seen too rarely say nothing, and stay on the executors
     keep = (F.col("kind") >= 2) | ((F.col("kind") == 0) & (F.col("r") >= rules.min_count)) \
         | ((F.col("kind") == 1) & (F.col("r") + F.col("s") > 0))
-    got = parts.where(keep).toPandas()  # at most 2**word_bits words and contexts, 2**pair_bits bigrams
+    got = parts.where(keep).toArrow()  # at most 2**word_bits words and contexts, 2**pair_bits bigrams
+    got = {c: got.column(c).to_numpy() for c in ("kind", "at", *"pqrs")}
 
     n, m = (1 << rules.word_bits) + 1, 1 << rules.pair_bits
-    take = lambda k: got[got["kind"] == k]
-    total = take(3)[["p", "q", "r"]].sum().to_numpy()
+    take = lambda k: {c: x[got["kind"] == k] for c, x in got.items()}
+    total = [take(3)[c].sum() for c in "pqr"]
     out = {"word": np.zeros((2, n), np.float32), "left": np.ones((2, n), np.float32),
            "per": np.zeros((2, n), np.float32), "pair": np.zeros((2, m), np.float32)}
     w = take(0)
-    at = w["at"].to_numpy()
+    at = w["at"]
     for c, col in enumerate(("p", "q")):
-        discounted = np.maximum(w[col].to_numpy() - rules.discount, 0.0)
+        discounted = np.maximum(w[col] - rules.discount, 0.0)
         rest = max(total[c] - discounted.sum(), 1.0)
-        out["word"][c, at] = (discounted + rest * w["r"].to_numpy() / max(total[2], 1.0)) / max(total[c], 1.0)
+        out["word"][c, at] = (discounted + rest * w["r"] / max(total[2], 1.0)) / max(total[c], 1.0)
     v = take(1)
-    at = v["at"].to_numpy()
+    at = v["at"]
     for c, (count, kept) in enumerate((("p", "r"), ("q", "s"))):
-        count, kept = v[count].to_numpy(), v[kept].to_numpy()
+        count, kept = v[count], v[kept]
         has = count > 0
         out["left"][c, at[has]] = 1.0 - kept[has] / count[has]
         out["per"][c, at[has]] = 1.0 / count[has]
     b = take(2)
     for c, col in enumerate(("p", "q")):
-        out["pair"][c, b["at"].to_numpy()] = b[col].to_numpy()
+        out["pair"][c, b["at"]] = b[col]
     return out
 
 
@@ -242,7 +243,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = T
     chosen = sample_labels(labels, "toxic", fold == rules.calibration_fold, rules.calibration_rows)
     cases = slim.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("label")) \
         .mapInArrow(_feature_batches(shared, rules, "label"), f"label int, {columns}") \
-        .toPandas()  # at most calibration_rows
+        .toArrow().to_pandas()  # at most calibration_rows
     cases = cases.sort_values(list(cases.columns))
     weights = [float(w) for w in fit_logistic(
         cases[list(FEATURES)].to_numpy(), cases["label"].to_numpy() > 0)]
