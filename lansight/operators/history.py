@@ -25,13 +25,15 @@ def claims(df: DataFrame) -> DataFrame:
                      & (c("arp_src_mac") != ZERO_MAC) & c("epoch_ts").isNotNull() & c("event_ts").isNotNull())
 
 
-def ip_mac_remap(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int = 3600) -> DataFrame:
+def ip_mac_remap(df: DataFrame, cfg: ArpConfig = DEFAULT, bucket_seconds: int = 10) -> DataFrame:
     """Claims whose MAC differs from the previous claim for the same IP.
 
     Order within an IP is (epoch_ts, arp_src_mac, eth_src).  One window pass over
     (ip, bucket) gives each claim's previous MAC inside its bucket and the
     bucket's last MAC; the first claim of a bucket takes the last MAC of the
-    IP's previous non-empty bucket (a ``lag`` over one row per bucket)."""
+    IP's previous non-empty bucket (a ``lag`` over one row per bucket).  Buckets
+    are short, so a busy address is spread over many of them, and only one row
+    per bucket follows an address through the capture."""
     ev = claims(df).select("event_ts", "epoch_ts", "eth_src", c("arp_src_ip").alias("ip"),
                            c("arp_src_mac").alias("mac"),
                            F.floor(c("epoch_ts") / F.lit(float(bucket_seconds))).alias("bucket"))

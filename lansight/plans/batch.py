@@ -32,10 +32,10 @@ class BatchResult:
     alerts: DataFrame
 
     def summary(self) -> DataFrame:
-        return report.detection_status(self.alerts)
+        return report.status_of(report.counts_of(self.detections))
 
     def threat(self, cfg: ArpConfig = DEFAULT) -> DataFrame:
-        return report.threat_score(self.alerts, cfg)
+        return report.score_of(report.counts_of(self.detections), cfg)
 
     def profile(self) -> dict[str, DataFrame]:
         return traffic.profile(self.packets)

@@ -79,16 +79,33 @@ def _counts_row(alerts: DataFrame) -> DataFrame:
     return alerts.agg(*[F.count_if(c("detector") == name).alias(name) for name, _ in DETECTORS])
 
 
+def counts_of(detections: dict[str, DataFrame], names=tuple(n for n, _ in DETECTORS)) -> DataFrame:
+    """One row with the number of rows of each named detection, straight from the
+    detections: no alert text is built, and other detectors are not planned."""
+    parts = [detections[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("detector"), "n") for n in names]
+    table = reduce(DataFrame.union, parts)
+    return table.agg(*[F.sum(F.when(c("detector") == n, c("n"))).alias(n) for n in names])
+
+
+def summary_of(counts: DataFrame) -> DataFrame:
+    """Rows per detector, zero rows included (one row of counts, unpivoted)."""
+    stack = ", ".join(f"'{name}', `{name}`" for name in counts.columns)
+    return counts.selectExpr(f"stack({len(counts.columns)}, {stack}) AS (detector, detections)")
+
+
+def status_of(counts: DataFrame) -> DataFrame:
+    """R2: ALERT when a detector fired, else Clean."""
+    return summary_of(counts).withColumn("status", F.when(c("detections") > 0, "ALERT").otherwise("Clean"))
+
+
 def detection_summary(alerts: DataFrame) -> DataFrame:
-    """Rows per detector, zero rows included (one aggregate, then unpivot)."""
-    stack = ", ".join(f"'{name}', `{name}`" for name, _ in DETECTORS)
-    return _counts_row(alerts).selectExpr(f"stack({len(DETECTORS)}, {stack}) AS (detector, detections)")
+    """R1 from a written alert table."""
+    return summary_of(_counts_row(alerts))
 
 
 def detection_status(alerts: DataFrame) -> DataFrame:
-    """R2: ALERT when a detector fired, else Clean."""
-    return detection_summary(alerts).withColumn(
-        "status", F.when(c("detections") > 0, "ALERT").otherwise("Clean"))
+    """R2 from a written alert table."""
+    return status_of(_counts_row(alerts))
 
 
 def threat_level(score: Column) -> Column:
@@ -97,8 +114,12 @@ def threat_level(score: Column) -> Column:
 
 
 def threat_score(alerts: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
+    """R3/R4 from a written alert table."""
+    return score_of(_counts_row(alerts), cfg)
+
+
+def score_of(counts: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     """Sum of the weights of detectors with at least one row, capped."""
-    counts = _counts_row(alerts)
     raw = reduce(lambda a, b: a + b, [
         F.when(c(name) > 0, F.lit(int(cfg.threat_weights[w]))).otherwise(F.lit(0)) for name, w in DETECTORS])
     firing = reduce(lambda a, b: a + b, [F.when(c(name) > 0, 1).otherwise(0) for name, _ in DETECTORS])
@@ -107,9 +128,9 @@ def threat_score(alerts: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
                          firing.cast("int").alias("detectors_firing"))
 
 
-def spoofing_summary(alerts: DataFrame) -> DataFrame:
-    """The three spoofing heuristics' counts."""
-    return detection_summary(alerts).filter(c("detector").isin(*SPOOF_DETECTORS))
+def spoofing_summary(detections: dict[str, DataFrame]) -> DataFrame:
+    """The three spoofing heuristics' counts, from their detections alone."""
+    return summary_of(counts_of(detections, SPOOF_DETECTORS))
 
 
 def alerts_json(alerts: DataFrame) -> DataFrame:

@@ -46,6 +46,12 @@ def _on_alerts(op) -> QueryFn:
     return run
 
 
+def _on_detections(op) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return at_boundary(op(batch.run_batch(packets(spark, sf_dir)).detections))
+    return run
+
+
 # --- sources ----------------------------------------------------------------
 
 def q_src_csv_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +150,10 @@ QUERIES: dict[str, QueryFn] = {
     "top_requesters": _on_packets(traffic.top_requesters),
     # reports over all detectors
     "alerts_unified": _on_alerts(lambda a: a),
-    "detection_summary": _on_alerts(report.detection_summary),
-    "detection_status": _on_alerts(report.detection_status),
-    "threat_score": _on_alerts(report.threat_score),
-    "spoofing_summary": _on_alerts(report.spoofing_summary),
+    "detection_summary": _on_detections(lambda d: report.summary_of(report.counts_of(d))),
+    "detection_status": _on_detections(lambda d: report.status_of(report.counts_of(d))),
+    "threat_score": _on_detections(lambda d: report.score_of(report.counts_of(d))),
+    "spoofing_summary": _on_detections(report.spoofing_summary),
     "alerts_json": _on_alerts(report.alerts_json),
     # rules described in the reference's documents
     "spoofed_requests": _on_packets(events.detect_spoofed_requests),
