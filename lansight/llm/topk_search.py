@@ -127,12 +127,14 @@ class Shard:
 
         rules = self.rules
         counts = np.array([len(t) for t in self.terms], dtype=np.int64)
-        doc = np.repeat(np.arange(len(counts)), counts)
+        doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         term = np.concatenate(self.terms or [np.empty(0, np.int64)])
-        tf = np.concatenate(self.tfs or [np.empty(0, np.int32)]).astype(np.float64)
-        self.terms, self.tfs = [], []
+        self.terms = []
         self.vocabulary, number = np.unique(term, return_inverse=True)
         del term
+        number = number.astype(np.int32)
+        tf = np.concatenate(self.tfs or [np.empty(0, np.int32)])
+        self.tfs = []
         size = np.array(self.sizes, dtype=np.float64)
         # documents in the order of their two most frequent words among the shard's commonest, then of length
         common = np.full(len(self.vocabulary), -1)
@@ -145,11 +147,14 @@ class Shard:
         order = np.lexsort((size, best[:, -1], best[:, 0]))
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
+        place = place.astype(np.int32)
         self.order = order
         impact = tf * (rules.k1 + 1) / (tf + rules.k1 * (1 - rules.b + rules.b * size[doc] / max(self.mean, 1e-9)))
+        del tf, some
         doc = place[doc]
         by = np.lexsort((doc, number))
-        number, self.doc, self.impact = number[by], doc[by].astype(np.int32), impact[by]
+        number, self.doc, self.impact = number[by], doc[by], impact[by]
+        del by, doc, impact
         block = self.doc // rules.block_docs
         self.n_blocks = int(block.max()) + 1 if len(block) else 0
         # runs of one term in one block
