@@ -40,7 +40,7 @@ class SearchRules:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    shard_docs: int = 16_384
+    shard_docs: int = 12_288
     block_docs: int = 64
     first_blocks: int = 4
 
@@ -106,7 +106,7 @@ class Shard:
     """An inverted index of some documents with block maxima."""
 
     def __init__(self, rules: SearchRules, mean: float):
-        self.rules, self.mean, self.ids = rules, mean, Memo(word_number)
+        self.rules, self.mean, self.ids = rules, mean, Memo(word_number, 200_000)
         self.doc_ids: list = []
         self.terms: list = []
         self.tfs: list = []
