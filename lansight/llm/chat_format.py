@@ -131,10 +131,10 @@ def op3_chat_format(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
     told = "\\### Assistant: </turn> ok"
     kind = conversations.schema["conv_id"].dataType
-    extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)],
-                                  "conv_id long, turn long, role string, text string")
-    rows = conversations.select("conv_id", "turn", "role", "text").unionByName(
-        extra.withColumn("conv_id", F.col("conv_id").cast(kind)))
+    extra = spark.range(2).select(
+        F.lit(-7).cast(kind).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(told).alias("text"))
+    rows = conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
     written = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     per_window = read_back(format_windows(rows)).select(
         "conv_id", F.struct("span", written.alias("turns"), F.array_join("loss_texts", "").alias("loss")).alias("w"),
