@@ -3,29 +3,33 @@
 Kept free of package imports and shipped to executors by value (see
 ``compile.stream_ip_mac_remap``), so workers need nothing installed."""
 
+HELD = ("epoch_ts", "mac", "eth_src", "event_us")
+
 
 def remap_group(key, frames, state):
-    """Per IP: order this micro-batch's claims by (epoch, MAC), chain them to the
-    MAC kept in state, emit the changes, keep the last claim."""
+    """Per IP: hold claims until the watermark has passed them, then chain them in order of (epoch,
+    MAC, source) to the last MAC, emit the changes and keep the last MAC."""
     import pandas as pd
 
     (ip,) = key
-    pdf = pd.concat(list(frames), ignore_index=True)
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values(["epoch_ts", "mac", "eth_src"], kind="mergesort", na_position="first").reset_index(drop=True)
-    prev = pdf["mac"].shift(1)
-    if state.exists:
-        prev.iloc[0] = state.get[1]
-    changed = prev.notna() & (prev != pdf["mac"])
-    out = pd.DataFrame({
-        "event_ts": pdf.loc[changed, "event_ts"],
-        "ip": ip,
-        "previous_mac": prev[changed],
-        "new_mac": pdf.loc[changed, "mac"],
-        "eth_src": pdf.loc[changed, "eth_src"],
-        "heuristic": "IP-MAC remap",
-    })
-    last = pdf.iloc[-1]
-    state.update((float(last["epoch_ts"]), str(last["mac"])))
-    yield out
+    last, *held = state.get if state.exists else (None, [], [], [], [])
+    claims = pd.DataFrame(dict(zip(HELD, map(list, held))))
+    if not state.hasTimedOut:
+        new = [f[list(HELD)] for f in frames]
+        claims = pd.concat([*([claims] if len(claims) else []), *new], ignore_index=True)
+    mark = state.getCurrentWatermarkMs()
+    final = claims["event_us"] <= mark * 1000
+    ready = claims[final].sort_values(["epoch_ts", "mac", "eth_src"], kind="mergesort", na_position="first")
+    rest = claims[~final]
+    prev = ready["mac"].shift(1)
+    if len(ready):
+        prev.iloc[0] = last
+        last = str(ready["mac"].iloc[-1])
+    changed = prev.notna() & (prev != ready["mac"])
+    state.update((last, [float(x) for x in rest["epoch_ts"]], list(rest["mac"]), list(rest["eth_src"]),
+                  [int(x) for x in rest["event_us"]]))
+    if len(rest):
+        state.setTimeoutTimestamp(max(int(rest["event_us"].min()) // 1000, mark + 1))
+    out = ready[changed]
+    yield pd.DataFrame({"event_us": out["event_us"].astype("int64"), "ip": ip, "previous_mac": prev[changed],
+                        "new_mac": out["mac"], "eth_src": out["eth_src"], "heuristic": "IP-MAC remap"})

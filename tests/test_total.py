@@ -113,6 +113,25 @@ def test_equal_time_claims_have_one_order(spark, raw_df):
     assert {r.eth_src for r in got.collect()} == {"02:00:00:00:00:01"}
 
 
+def test_claims_out_of_order_within_the_watermark_are_put_in_order(spark, raw_df):
+    from lansight.config import DEFAULT as cfg
+    from lansight.schema import RAW_SCHEMA
+    from lansight.sources import csv
+    from lansight.streaming.sinks import file_sink
+
+    claim = lambda t, m: pkt(BASE + t, opcode=2, src_mac=f"02:00:00:00:00:{m}")
+    parts = [[claim(0, "aa")], [claim(10, "aa")], [claim(5, "bb")], [claim(100_000, "aa")]]
+    want = rows_of(history.ip_mac_remap(enrich(raw_df(sum(parts, [])))))
+    root = scratch_path(spark, "late-claims")
+    for part in parts:
+        csv.write_csv(spark.createDataFrame(part, RAW_SCHEMA).coalesce(1), f"{root}/in")
+        stream = csv.read_csv_stream(spark, f"{root}/in", cfg, max_files_per_trigger=1)
+        file_sink(stream_ip_mac_remap(packet_stream(stream)), f"{root}/out", f"{root}/ckpt") \
+            .trigger(availableNow=True).start().awaitTermination()
+    got = rows_of(spark.read.parquet(f"{root}/out"))
+    assert len(want) == 2 and got == want
+
+
 def _brute_by_mac(rows, lookback):
     """Replies without a request from their target MAC for their sender IP less than ``lookback`` before."""
     out = Counter()
