@@ -10,12 +10,13 @@ together with the two known set sizes; pairs with a fair estimate are confirmed
 
 Steps:
 1. documents with equal sets fall into one class (order-free 128-bit digest of the full set);
-2. in each band bucket every class is paired with the smallest one, pairs are estimated and
-   confirmed, and confirmed pairs give first components;
-3. buckets that still hold several components compare all their classes that lie in different
-   ones, tile by tile inside tasks, so that only pairs with a fair estimate leave a task; those are
-   confirmed too, and join the components.
-Pairs inside one component need no comparison, so a group of thousands of copies costs its stars.
+2. in each band bucket every class is paired with the smallest one; pairs with a fair estimate make
+   first clusters.  Buckets that still hold several clusters compare their classes tile by tile and
+   send on a spanning forest of the fair pairs.  So any two classes that share a bucket and look
+   similar end in one cluster, and a bucket of any size sends on fewer edges than it has members;
+3. a cluster's full sets are intersected exactly, tile by tile, each class's text being sent once per
+   tile of its cluster; again a spanning forest of the links leaves a task;
+4. components of the links give the groups.
 
 The chance to miss a link at similarity 0.75: no equal band (1 - 0.75**3)**32 < 3e-8, or an
 estimate under ``estimate_floor``, over four standard deviations away.
@@ -25,9 +26,8 @@ than five words has one shingle, all its words; rows that repeat a doc_id are on
 texts all count, a row without words keeping its own id; a null doc_id is linked with nothing, has
 component null and is kept; an empty table gives an empty result.
 
-Skew: buckets are counted with map-side sums; a hot bucket is split into tiles, a hot star centre
-into salted parts that hold its text once each; no task holds more than two tiles or one centre
-and one member.
+Skew: buckets are counted with map-side sums; large buckets and clusters are split into tiles of
+bounded size, and no task holds more than two tiles at a time.
 """
 
 from __future__ import annotations
@@ -55,8 +55,9 @@ class SketchRules:
     b: float = 1.001
     rate: float = 20.0
     estimate_floor: float = 0.55
-    tile: int = 256
-    salt_members: int = 256
+    #: Classes of a tile, and shingles of a tile where full sets are compared.
+    tile: int = 1024
+    tile_shingles: int = 2_000_000
 
 
 def word_hash(word: bytes) -> int:
@@ -142,6 +143,20 @@ def estimate(larger, smaller, equal, n_a, n_b, b: float):
     return (low + high) / 2.0
 
 
+def fair(larger, smaller, equal, n_a, n_b, rules: SketchRules):
+    """Whether the estimate is at least the floor: the likelihood has one peak, so it rises there."""
+    import numpy as np
+
+    u, v, j, b = n_a / (n_a + n_b), n_b / (n_a + n_b), rules.estimate_floor, rules.b
+    scale = (b - 1.0) / b
+    x, y = np.maximum(u - v * j, 1e-9), np.maximum(v - u * j, 1e-9)
+    up, down = -np.log1p(-x * scale) / math.log(b), -np.log1p(-y * scale) / math.log(b)
+    # derivatives of the two probabilities by the similarity
+    d_up, d_down = -v * scale / (1.0 - x * scale) / math.log(b), -u * scale / (1.0 - y * scale) / math.log(b)
+    slope = larger * d_up / up + smaller * d_down / down - equal * (d_up + d_down) / np.maximum(1.0 - up - down, 1e-9)
+    return slope >= 0.0
+
+
 def _sketch_batches(rules: SketchRules):
     def run(batches):
         import numpy as np
@@ -192,96 +207,149 @@ def _estimate_batches(rules: SketchRules):
             get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, rules.m)
                     for c in ("regs_a", "regs_b"))
-            j = estimate((x > y).sum(1), (x < y).sum(1), (x == y).sum(1), get("n_a").astype(float),
-                         get("n_b").astype(float), rules.b)
-            keep = pa.array(j >= rules.estimate_floor)
+            keep = pa.array(fair((x > y).sum(1), (x < y).sum(1), (x == y).sum(1), get("n_a").astype(float),
+                                 get("n_b").astype(float), rules))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)],
                                              names=["a", "b"])
     return run
 
 
-def _tile_batches(rules: SketchRules):
-    """Rows sorted by (band, ti, tj): compare the two tiles of each group."""
-    def compare(group, emit):
-        import numpy as np
+def join_up(label, i: int, found):
+    """Merge the labels of ``found`` into that of ``i``; one of ``found`` per label that was another one."""
+    import numpy as np
 
-        cid = np.array([g[0] for g in group], dtype=np.int64)
-        comp = np.array([g[1] for g in group], dtype=np.int64)
-        n = np.array([g[2] for g in group], dtype=np.float64)
-        tile = np.array([g[4] for g in group], dtype=np.int64)
-        regs = np.frombuffer(b"".join(g[3] for g in group), np.uint16).reshape(len(group), -1)
-        inner = tile.min() == tile.max()
-        diagonal = group[0][5]
-        for i in range(len(group) - 1):
-            others = np.arange(i + 1, len(group))
-            ok = comp[others] != comp[i]
-            if not diagonal:
-                ok &= tile[others] != tile[i]
-            elif not inner:
-                raise ValueError("a diagonal group holds one tile")
-            ok &= 100 * np.minimum(n[others], n[i]) >= rules.percent * np.maximum(n[others], n[i])
-            others = others[ok]
-            if not others.size:
-                continue
-            x, y = regs[i][None, :], regs[others]
-            equal = (x == y).sum(1)
-            some = equal >= 0.3 * rules.m  # far under what the floor needs: spares the likelihood
-            others, y, equal = others[some], y[some], equal[some]
-            if others.size:
-                larger = (x > y).sum(1)
-                j = estimate(larger, rules.m - larger - equal, equal, np.full(len(others), n[i]), n[others], rules.b)
-                for o in others[j >= rules.estimate_floor]:
-                    emit.append((int(min(cid[i], cid[o])), int(max(cid[i], cid[o]))))
+    own = label[i]
+    other, at = np.unique(label[found], return_index=True)
+    new = other != own
+    if new.any():
+        label[np.isin(label, other[new])] = own
+    return found[at[new]]
 
+
+def fair_forest(cid, cluster, n, regs, tile, rules: SketchRules) -> list[tuple[int, int]]:
+    """A spanning forest of the fair pairs between clusters: of two tiles, or within one."""
+    import numpy as np
+
+    label, edges = np.unique(cluster, return_inverse=True)[1], []
+    several = tile.min() != tile.max()
+    for i in range(len(cid) - 1):
+        ok = label[i + 1:] != label[i]
+        if several:
+            ok &= tile[i + 1:] != tile[i]
+        others = np.flatnonzero(ok) + i + 1
+        if not others.size:
+            continue
+        low, high = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
+        others = others[100 * low >= rules.percent * high]
+        equal = (regs[others] == regs[i]).sum(1)
+        some = equal >= 0.3 * rules.m  # far under what the floor needs
+        others, equal = others[some], equal[some]
+        if others.size:
+            larger = (regs[i] > regs[others]).sum(1)
+            good = fair(larger, rules.m - larger - equal, equal, np.full(len(others), n[i]), n[others], rules)
+            if good.any():
+                edges += [(int(cid[i]), int(cid[o])) for o in join_up(label, i, others[good])]
+    return edges
+
+
+def link_forest(cid, sets: list, tile, rules: SketchRules) -> list[tuple[int, int]]:
+    """A spanning forest of the links of two tiles, or within one, by exact intersections."""
+    import numpy as np
+
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    several, docs = tile.min() != tile.max(), len(sets)
+    owner = np.repeat(np.arange(docs), size)
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[number] > 1  # shingles of one set only meet nothing
+    number, owner = number[shared], owner[shared]
+    _, number, count = np.unique(number, return_inverse=True, return_counts=True)
+    width = len(count)
+    label, edges = np.arange(docs), []
+    if 2.0 * docs * docs * width / 1.5e10 < 5e-9 * float((count.astype(float)**2).sum()):
+        common = np.zeros((docs, docs), dtype=np.float32)  # counts under 2**24 are exact
+        for at in range(0, width, 4096):
+            here = (number >= at) & (number < at + 4096)
+            held = np.zeros((docs, min(4096, width - at)), dtype=np.float32)
+            held[owner[here], number[here] - at] = 1.0
+            common += held @ held.T
+        row = common.__getitem__
+    else:
+        by = np.argsort(number, kind="stable")
+        holders, start = owner[by], np.cumsum(count) - count
+        first = np.searchsorted(owner, np.arange(docs + 1))
+
+        def row(i):
+            own = number[first[i]:first[i + 1]]
+            ends = np.cumsum(count[own])
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[own] - (ends - count[own]), count[own])
+            return np.bincount(holders[at], minlength=docs)
+
+    for i in range(docs - 1):
+        ok = label != label[i]
+        ok[:i] = False
+        if several:
+            ok &= tile != tile[i]
+        if ok.any():
+            both = row(i)
+            found = np.flatnonzero(ok & (100 * both >= rules.percent * (size[i] + size - both)))
+            if found.size:
+                edges += [(int(cid[i]), int(cid[o])) for o in join_up(label, i, found)]
+    return edges
+
+
+def _by_group(columns: list[str], make):
+    """Rows sorted by (g, ti, tj): ``make`` turns the rows of each pair of tiles into edges."""
     def run(batches):
         import pyarrow as pa
 
         key, group = None, []
-        out = lambda rows: pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
+
+        def edges():
+            return make(group) if len(group) > 1 else []
+
+        def out(found):
+            return pa.RecordBatch.from_arrays([pa.array([min(e) for e in found], pa.int64()),
+                                               pa.array([max(e) for e in found], pa.int64())], names=["a", "b"])
+
         for batch in batches:
             found = []
-            cols = [batch.column(c).to_pylist() for c in ("band", "ti", "tj", "cid", "comp", "n", "regs", "tile")]
-            for band, ti, tj, cid, comp, n, regs, tile in zip(*cols):
-                if (band, ti, tj) != key:
-                    if len(group) > 1:
-                        compare(group, found)
-                    key, group = (band, ti, tj), []
-                group.append((cid, comp, n, regs, tile, ti == tj))
+            for row in zip(*(batch.column(c).to_pylist() for c in ["g", "ti", "tj", *columns])):
+                if row[:3] != key:
+                    found += edges()
+                    key, group = row[:3], []
+                group.append(row[3:])
             if found:
-                yield out(sorted(set(found)))
-        found = []
-        if len(group) > 1:
-            compare(group, found)
-        yield out(sorted(set(found)))
+                yield out(found)
+        yield out(edges())
     return run
 
 
-def _confirm_batches(rules: SketchRules):
-    """Rows sorted by (center, salt, member flag): the centre's text, then its members' texts."""
-    def run(batches):
+def _fair_batches(rules: SketchRules):
+    def make(group):
         import numpy as np
-        import pyarrow as pa
 
-        ids = Memo(word_hash)
-        center, own = None, None
-        for batch in batches:
-            a, b = [], []
-            cols = [batch.column(c).to_pylist() for c in ("center", "salt", "cid", "s1", "s2", "text")]
-            for c, salt, cid, s1, s2, text in zip(*cols):
-                s = shingle_set((text or b"").lower().split(), ids, rules.words)
-                if mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64) != s1 or \
-                        mix64(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).view(np.int64) != s2:
-                    continue  # another text under a repeated doc_id
-                if cid == c:
-                    center, own = (c, salt), s
-                elif center == (c, salt):
-                    both = len(np.intersect1d(own, s, assume_unique=True))
-                    if 100 * both >= rules.percent * (len(own) + len(s) - both):
-                        a.append(c)
-                        b.append(cid)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return run
+        cid, cluster, n, regs, tile = zip(*group)
+        return fair_forest(np.array(cid), np.array(cluster), np.array(n, dtype=float),
+                           np.frombuffer(b"".join(regs), np.uint16).reshape(len(group), -1), np.array(tile), rules)
+    return _by_group(["cid", "cluster", "n", "regs", "tile"], make)
+
+
+def _link_batches(rules: SketchRules):
+    ids = Memo(word_hash)
+
+    def make(group):
+        import numpy as np
+
+        cid, sets, tile = [], [], []
+        for c, s1, s2, t, text in group:
+            s = shingle_set((text or b"").lower().split(), ids, rules.words)
+            if mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64) == s1 and \
+                    mix64(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).view(np.int64) == s2:
+                cid.append(c)  # else another text under a repeated doc_id
+                sets.append(s)
+                tile.append(t)
+        return link_forest(np.array(cid), sets, np.array(tile), rules) if len(cid) > 1 else []
+    return _by_group(["cid", "s1", "s2", "tile", "text"], make)
 
 
 class NearDuplicates:
@@ -311,39 +379,34 @@ class NearDuplicates:
         return pairs.join(side("b"), "b").join(side("a"), "a").where(100 * low >= self.rules.percent * high) \
             .mapInArrow(_estimate_batches(self.rules), "a long, b long")
 
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough; ``pairs`` is a written table."""
-        members = F.lit(self.rules.salt_members)
-        parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / members).alias("parts"))
-        wanted = pairs.join(parts, "a").select(
-            F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("salt"), F.col("b").alias("cid"))
-        heads = parts.select(F.col("a").alias("center"),
-                             F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
-                             F.col("a").alias("cid"))
-        return wanted.unionByName(heads) \
-            .join(self.classes.select("cid", "s1", "s2", F.col("rep").alias("doc_id")), "cid") \
-            .join(self.docs, "doc_id") \
-            .select("center", "salt", "cid", "s1", "s2", F.col("text").cast("binary").alias("text")) \
-            .repartition("center", "salt") \
-            .sortWithinPartitions("center", "salt", F.col("cid") != F.col("center")) \
-            .mapInArrow(_confirm_batches(self.rules), "a long, b long").distinct()
-
-    def _candidates_across(self, labels: DataFrame) -> DataFrame:
-        """Pairs of classes that share a bucket but no component, with a fair estimate."""
+    def _tiled(self, rows: DataFrame, tiles: DataFrame) -> DataFrame:
+        """``rows`` (g, cid, ...) once per tile that their own meets; ``tiles`` has the number per g."""
+        dealt = rows.join(tiles, "g").withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles"))) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        return dealt.withColumn("ti", F.least("tile", "other")).withColumn("tj", F.greatest("tile", "other")) \
+            .drop("tiles", "other")
+
+    def _fair_between(self, labels: DataFrame) -> DataFrame:
+        """Edges that join the clusters of buckets that hold several."""
         labelled = self.bands.join(labels, F.col("cid") == F.col("node"), "left") \
-            .select("band", "cid", F.coalesce("component", "cid").alias("comp"))
-        mixed = labelled.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                             F.count("*").alias("size")) \
-            .where("low < high").select("band", F.ceil(F.col("size") / self.rules.tile).alias("tiles"))
-        tile = F.pmod(F.xxhash64("cid"), F.col("tiles"))
-        dealt = labelled.join(mixed, "band").withColumn("tile", tile) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))) \
-            .select("band", "cid", "comp", "tile", F.least("tile", "other").alias("ti"),
-                    F.greatest("tile", "other").alias("tj"))
-        return dealt.join(self.classes.select("cid", "n", "regs"), "cid") \
-            .repartition("band", "ti", "tj").sortWithinPartitions("band", "ti", "tj") \
-            .select("band", "ti", "tj", "cid", "comp", "n", "regs", "tile") \
-            .mapInArrow(_tile_batches(self.rules), "a long, b long").distinct()
+            .select(F.col("band").alias("g"), "cid", F.coalesce("component", "cid").alias("cluster"))
+        mixed = labelled.groupBy("g").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"),
+                                          F.count("*").alias("size")) \
+            .where("low < high").select("g", F.ceil(F.col("size") / self.rules.tile).alias("tiles"))
+        return self._tiled(labelled, mixed).join(self.classes.select("cid", "n", "regs"), "cid") \
+            .repartition("g", "ti", "tj").sortWithinPartitions("g", "ti", "tj") \
+            .select("g", "ti", "tj", "cid", "cluster", "n", "regs", "tile") \
+            .mapInArrow(_fair_batches(self.rules), "a long, b long").distinct()
+
+    def _links_within(self, clusters: DataFrame) -> DataFrame:
+        """A spanning forest of the exact links of each cluster; ``clusters`` is (cid, g)."""
+        rows = clusters.join(self.classes.select("cid", "n", "s1", "s2", F.col("rep").alias("doc_id")), "cid")
+        tiles = rows.groupBy("g").agg(F.greatest(
+            F.ceil(F.count("*") / self.rules.tile), F.ceil(F.sum("n") / self.rules.tile_shingles)).alias("tiles"))
+        return self._tiled(rows.drop("n"), tiles).join(self.docs, "doc_id") \
+            .select("g", "ti", "tj", "cid", "s1", "s2", "tile", F.col("text").cast("binary").alias("text")) \
+            .repartition("g", "ti", "tj").sortWithinPartitions("g", "ti", "tj") \
+            .mapInArrow(_link_batches(self.rules), "a long, b long").distinct()
 
     def _shared_ids(self) -> DataFrame:
         """Edges between the classes of one repeated doc_id."""
@@ -357,20 +420,17 @@ class NearDuplicates:
         """(cid, comp) of every class that is linked with another."""
         write = lambda df, name: materialize(df, f"{self.here}/{name}")
         stars = write(self._estimated(self._candidates_of_stars()), "stars")
-        links = write(self._confirmed(stars).unionByName(self._shared_ids()), "links")
-        labels = write(connected_components(links), "labels")
-        seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        across = write(self._candidates_across(labels).join(seen, ["a", "b"], "left_anti"), "across")
-        more = self._confirmed(across)
-        of = labels.select(F.col("node").alias("cid"), "component")
-        joins = more.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left") \
-            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        merged = write(connected_components(joins), "merged")
-        first = labels.select(F.col("node").alias("cid"), F.col("component").alias("mid")) \
-            .unionByName(merged.select(F.col("node").alias("cid"), F.col("node").alias("mid")).join(
-                labels.select(F.col("node").alias("cid")), "cid", "left_anti"))
-        return first.join(merged.withColumnRenamed("node", "mid"), "mid", "left") \
-            .select("cid", F.coalesce("component", "mid").alias("comp"))
+        first = write(connected_components(stars), "first")
+        of = first.select(F.col("node").alias("cid"), "component")
+        joins = write(self._fair_between(first), "joins").join(of.toDF("a", "ca"), "a", "left") \
+            .join(of.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        merged = connected_components(joins).toDF("first", "g")
+        every = first.select(F.col("node").alias("cid"), F.col("component").alias("first")) \
+            .unionByName(merged.select(F.col("first").alias("cid"), "first")).distinct() \
+            .groupBy("cid").agg(F.min("first").alias("first"))  # a cluster's smallest class is labelled with itself
+        clusters = write(every.join(merged, "first", "left").select("cid", F.coalesce("g", "first").alias("g")), "clusters")
+        links = write(self._links_within(clusters).unionByName(self._shared_ids()), "links")
+        return connected_components(links).toDF("cid", "comp")
 
     def result(self) -> DataFrame:
         """Per document row: doc_id, n_shingles, component_id, kept."""

@@ -7,7 +7,8 @@ import random
 import numpy as np
 
 from lansight.llm.components import connected_components
-from lansight.llm.near_dedup import (SketchRules, estimate, keep_one, op5_near_dedup, registers, shingle_set, word_hash)
+from lansight.llm.near_dedup import (SketchRules, estimate, fair, keep_one, op5_near_dedup, registers,
+                                      shingle_set, word_hash)
 from lansight.llm.common import Memo
 from llm_rows import EDGE, docs, row, rows_of  # noqa: F401
 
@@ -63,11 +64,11 @@ def test_components_equal_brute_force(docs):
     assert rows_of(op5_near_dedup(docs(rows, clash=True))) == brute(rows)
 
 
-def test_small_tiles_and_salts_change_nothing(docs):
+def test_small_tiles_change_nothing(docs):
     from lansight.llm.near_dedup import near_duplicates
 
     rows = copies()
-    rules = SketchRules(tile=4, salt_members=3)
+    rules = SketchRules(tile=4, tile_shingles=500)
     assert rows_of(near_duplicates(docs(rows), rules)) == brute(rows)
 
 
@@ -103,6 +104,11 @@ def test_registers_merge_and_estimate_similarity():
         j = estimate(np.array([(ra > rb).sum()]), np.array([(ra < rb).sum()]), np.array([(ra == rb).sum()]),
                      np.array([float(len(sets[0]))]), np.array([float(len(sets[1]))]), rules.b)[0]
         assert abs(j - true) < 0.08
+        counts = [np.array([x.sum()]) for x in (ra > rb, ra < rb, ra == rb)]
+        for floor in (0.1, j - 0.02, j + 0.02):
+            told = fair(*counts, np.array([float(len(sets[0]))]), np.array([float(len(sets[1]))]),
+                        SketchRules(m=384, estimate_floor=floor))
+            assert bool(told[0]) == (j >= floor)
 
 
 def test_connected_components_of_paths_stars_and_rings(spark):
