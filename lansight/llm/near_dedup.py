@@ -162,7 +162,7 @@ def _sketch_batches(rules: SketchRules):
         import numpy as np
         import pyarrow as pa
 
-        ids = Memo(word_hash)
+        ids = Memo(word_hash, 200_000)
         for batch in batches:
             n, s1, s2, regs = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -335,7 +335,7 @@ def _fair_batches(rules: SketchRules):
 
 
 def _link_batches(rules: SketchRules):
-    ids = Memo(word_hash)
+    ids = Memo(word_hash, 200_000)
 
     def make(group):
         import numpy as np

@@ -82,7 +82,7 @@ def load_pieces(path: str = MODEL_FILE) -> Pieces:
 class Encoder:
     """Viterbi over pieces with forward states shared along the trie of sorted words."""
 
-    def __init__(self, pieces: Pieces, bound: int = 500_000):
+    def __init__(self, pieces: Pieces, bound: int = 200_000):
         import re
 
         self.bound = bound  # of the words remembered from chunk to chunk
@@ -95,9 +95,9 @@ class Encoder:
         self.ids = {p: i for p, (i, _) in pieces.scores.items()}
         self.names = {i: p for p, i in self.ids.items()}
         self.none = max(self.names) + 1  # in place of a last piece: a word's start or an unknown character
-        self.pairs = Memo(self._pair_stands, 1_500_000)
+        self.pairs = Memo(self._pair_stands, 400_000)
         self.long_tails = {p[-TAIL:] for p in self.ids if len(p) > TAIL}
-        self.tails = Memo(self._pieces_ending, 300_000)
+        self.tails = Memo(self._pieces_ending, 100_000)
         self.known: dict[str, bytes] = {}  # a word's ids as little-endian 32-bit numbers
 
     def _merged(self, text: str) -> list[str]:
@@ -215,7 +215,7 @@ def decode_ids(ids: list[int], pieces: Pieces) -> str:
     return text[1:] if pieces.dummy_prefix and text.startswith(" ") else text
 
 
-def _chunks(texts: list[str], most: int = 2_000_000):
+def _chunks(texts: list[str], most: int = 1_000_000):
     """Runs of texts of about ``most`` characters."""
     at, size = 0, 0
     for i, t in enumerate(texts):
