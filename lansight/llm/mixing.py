@@ -160,7 +160,9 @@ class Mix:
     def slots(self) -> DataFrame:
         """(shard, rank, slot, block): every slot with the index of its block."""
         rules = self.rules
-        return self.shard_counts().repartition("shard", "rank") \
+        # a few small rows grow into many: with a number given they are not put together again before
+        parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.n_slots // 500_000)
+        return self.shard_counts().repartition(parts, "shard", "rank") \
             .withColumn("slot", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("kept") - 1))) \
             .join(self.sources.select("rank", "n_blocks"), "rank") \
             .select("shard", "rank", "slot", permuted(
