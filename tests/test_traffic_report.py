@@ -99,5 +99,6 @@ def test_alert_json_records(packets):
 def test_chart_frames_are_projections(packets):
     rows = [pkt(BASE + i / 100, dst_ip=f"10.0.0.{i}") for i in range(60)]
     frames = report.chart_frames(batch.run_batch(packets(rows)).detections)
-    assert frames["scan_scatter"].columns == ["window_start", "scanner_mac", "unique_targets"]
+    assert frames["scan_scatter"].columns == ["window_start", "window_end", "scanner_mac", "unique_targets",
+                                               "total_requests", "targeted_ip_count"]
     assert frames["flood_line"].count() == 1
