@@ -86,7 +86,7 @@ def labelled_rows(n=900):
             text = "\n".join(" ".join(w.upper() + "!!" for w in line.split()) if i % 2 else " | ".join(line.split())
                              for line in text.split("\n"))
         rows.append(row(i, text))
-        if i % 3:
+        if i % 7:  # of both classes
             labels.append((i, int(good), int(toxic)))
     return rows, labels
 
