@@ -5,8 +5,9 @@ probability backs off to the class's continuation probability of the word, and t
 counts shared by both classes, so an expression seen too rarely to tell the classes apart gets the
 same probability in both.  A document's features are differences of length-normalised
 log-likelihoods, toxic less ordinary: of the whole text by bigrams, of the whole text by words in
-any context, and of its most toxic expressions, a few words that a long text would drown; a
-logistic function fitted on labelled rows that the models did not see turns them into a score.
+any context, and of its most toxic expressions, a few words that a long text would drown (a word
+counts as seen by its occurrences, not by the words it follows); a logistic function fitted on
+labelled rows that the models did not see turns them into a score.
 
 All counts cover all labelled rows that may be learnt from; only the logistic fit uses a bounded
 sample (``calibration_rows``).  Words are hashed to ``2**word_bits`` numbers and frequent bigrams
@@ -111,8 +112,8 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
                                            *[F.lit(v).cast("double").alias(n) for n, v in zip("pqrs", x)])
     none = F.lit(0.0)
     parts = pairs.select(F.explode(F.array(
-        # continuation counts of the word, by class and shared
-        fields(0, F.col("pair").bitwiseAND(F.lit(low)), seen("t"), seen("o"), F.lit(1.0), none),
+        # continuation counts of the word, by class and shared, and its occurrences
+        fields(0, F.col("pair").bitwiseAND(F.lit(low)), seen("t"), seen("o"), F.lit(1.0), F.col("t") + F.col("o")),
         # totals and kept mass of the context
         fields(1, F.shiftright("pair", rules.word_bits + 1), F.col("t"), F.col("o"), disc("t"), disc("o")),
         # discounted counts of a frequent bigram
@@ -121,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRul
         fields(3, F.lit(0), seen("t"), seen("o"), F.lit(1.0), none))).alias("x")).select("x.*") \
         .where("at >= 0").groupBy("kind", "at").agg(*[F.sum(c).alias(c) for c in "pqrs"])
     # words and contexts seen too rarely say nothing, and stay on the executors
-    keep = (F.col("kind") >= 2) | ((F.col("kind") == 0) & (F.col("r") >= rules.min_count)) \
+    keep = (F.col("kind") >= 2) | ((F.col("kind") == 0) & (F.col("s") >= rules.min_count)) \
         | ((F.col("kind") == 1) & (F.col("r") + F.col("s") > 0))
     got = parts.where(keep).toArrow()  # at most 2**word_bits words and contexts, 2**pair_bits bigrams
     got = {c: got.column(c).to_numpy() for c in ("kind", "at", *"pqrs")}

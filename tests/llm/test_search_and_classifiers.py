@@ -102,6 +102,20 @@ def test_toxicity_on_held_out_documents(docs, spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
 
 
+def test_a_toxic_word_that_always_follows_the_same_word(docs, spark):
+    rnd = random.Random(11)
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(i, 120, 300).split(" ")
+        for _ in range(2):  # both classes say "quite" before one fixed word
+            words.insert(rnd.randrange(len(words)), "quite oftiorly" if i % 6 == 0 else "quite ordinary")
+        rows.append(row(i, " ".join(words)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    got = op7_toxicity(docs(rows), spark.createDataFrame(labels, LABELS)).collect()
+    held = [(r.predicted, int(r.doc_id % 6 == 0)) for r in got if r.held_out]
+    assert sum(y for _, y in held) > 10 and sum(a == b for a, b in held) / len(held) > 0.97
+
+
 def test_quality_on_held_out_documents(docs, spark):
     rows, labels = labelled_rows()
     got = {r.doc_id: r for r in op10_quality_crf(docs(rows, clash=True), spark.createDataFrame(labels, LABELS)).collect()}
