@@ -10,8 +10,10 @@ counts as seen by its occurrences, not by the words it follows); a logistic func
 labelled rows that the models did not see turns them into a score.
 
 All counts cover all labelled rows that may be learnt from; only the logistic fit uses a bounded
-sample (``calibration_rows``).  Words are hashed to ``2**word_bits`` numbers and frequent bigrams
-to ``2**pair_bits``, which bounds the model that scoring tasks hold whatever the corpus.
+sample (``calibration_rows``).  Words are told apart by 64-bit hashes and bigrams by the hashes of
+both words, so no two share counts.  The model is sorted keys with their values: words, contexts
+and bigrams seen ``min_count`` times.  It grows with the vocabulary of the labelled rows, is gathered
+on the driver and held by every scoring task.
 
 Defined results: a null or empty text scores as the features 0 say; a null doc_id counts as the
 empty text in the split; documents with several labels count with the largest; without labels
@@ -37,8 +39,6 @@ class ToxicityRules:
     held_out_fold: int = 0
     calibration_fold: int = 4
     calibration_rows: int = 20_000
-    word_bits: int = 20
-    pair_bits: int = 21
     discount: float = 1.5
     min_count: int = 5
     expressions: int = 3
@@ -52,41 +52,49 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().translate(_TABLE).split()
 
 
-def _numbering(bits: int) -> Memo:
+def _numbering() -> Memo:
     import xxhash
 
-    mask = (1 << bits) - 1
-    return Memo(lambda w: xxhash.xxh64_intdigest(w) & mask)
+    return Memo(xxhash.xxh64_intdigest)
+
+
+START = b""  # the context of a text's first word; no word is empty
+
+
+def pair_keys(v, w):
+    """A number per bigram, as the SQL function xxhash64(v, w) gives it (int64 arrays in and out)."""
+    import numpy as np
+
+    return spark_xxhash64_long(w.view(np.uint64), spark_xxhash64_long(v.view(np.uint64)).view(np.uint64))
 
 
 def _count_batches(rules: ToxicityRules):
-    """(pair, toxic, ordinary): bigram counts, summed per chunk before they leave the task."""
+    """(v, w, toxic, ordinary): bigram counts, summed per chunk before they leave the task."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        ids, start = _numbering(rules.word_bits), 1 << rules.word_bits
-        held = {0: [], 1: []}
+        ids = _numbering()
+        start = np.array([ids[START]], dtype=np.uint64).view(np.int64)
+        held = []  # (contexts, words, label) per text
         size = 0
 
         def flush():
-            keys, counts = {}, {}
-            for c in (0, 1):
-                keys[c], counts[c] = np.unique(np.concatenate(held[c] or [np.empty(0, np.int64)]), return_counts=True)
-                held[c].clear()
-            every = np.union1d(keys[0], keys[1])
-            n = {c: np.zeros(len(every), np.int64) for c in (0, 1)}
-            for c in (0, 1):
-                n[c][np.searchsorted(every, keys[c])] = counts[c]
-            return pa.RecordBatch.from_arrays([pa.array(every), pa.array(n[1]), pa.array(n[0])],
-                                              names=["pair", "toxic", "ordinary"])
+            none = np.empty(0, np.int64)
+            v, w = (np.concatenate([x[k] for x in held] or [none]) for k in (0, 1))
+            label = np.repeat(np.array([x[2] for x in held], dtype=bool), [len(x[1]) for x in held])
+            held.clear()
+            _, one, at = np.unique(pair_keys(v, w), return_index=True, return_inverse=True)
+            n = [np.bincount(at[m], minlength=len(one)).astype(np.int64) for m in (label, ~label)]
+            return pa.RecordBatch.from_arrays([pa.array(v[one]), pa.array(w[one]), *map(pa.array, n)],
+                                              names=["v", "w", "toxic", "ordinary"])
 
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 words = words_of(text)
-                w = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
-                v = np.concatenate([[start], w[:-1]]) if len(w) else w
-                held[1 if label else 0].append((v << (rules.word_bits + 1)) | w)
+                w = np.fromiter(map(ids.__getitem__, words), dtype=np.uint64, count=len(words)).view(np.int64)
+                v = np.concatenate([start, w[:-1]]) if len(w) else w
+                held.append((v, w, bool(label)))
                 size += len(w)
                 if size > 4_000_000:
                     yield flush()
@@ -96,70 +104,84 @@ def _count_batches(rules: ToxicityRules):
 
 
 def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = ToxicityRules()):
-    """The two models as arrays of bounded size."""
+    """The two models: per kind of entry its sorted keys and their values."""
     import numpy as np
 
     fold = remainder(rules.folds)
     rows = labelled(docs, labels, "toxic", ~fold.isin(rules.held_out_fold, rules.calibration_fold))
     pairs = rows.select(F.col("text").cast("binary").alias("text"), "label") \
-        .mapInArrow(_count_batches(rules), "pair long, toxic long, ordinary long") \
-        .groupBy("pair").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
+        .mapInArrow(_count_batches(rules), "v long, w long, toxic long, ordinary long") \
+        .groupBy("v", "w").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
     d, frequent = F.lit(rules.discount), F.col("t") + F.col("o") >= rules.min_count
     disc = lambda c: F.when(frequent, F.greatest(F.col(c) - d, F.lit(0.0))).otherwise(0.0)
     seen = lambda c: (F.col(c) > 0).cast("double")
-    low = (1 << (rules.word_bits + 1)) - 1
-    fields = lambda kind, at, *x: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"),
+    fields = lambda kind, at, *x: F.struct(F.lit(kind).cast("byte").alias("kind"), at.cast("long").alias("at"),
                                            *[F.lit(v).cast("double").alias(n) for n, v in zip("pqrs", x)])
     none = F.lit(0.0)
     parts = pairs.select(F.explode(F.array(
         # continuation counts of the word, by class and shared, and its occurrences
-        fields(0, F.col("pair").bitwiseAND(F.lit(low)), seen("t"), seen("o"), F.lit(1.0), F.col("t") + F.col("o")),
+        fields(0, F.col("w"), seen("t"), seen("o"), F.lit(1.0), F.col("t") + F.col("o")),
         # totals and kept mass of the context
-        fields(1, F.shiftright("pair", rules.word_bits + 1), F.col("t"), F.col("o"), disc("t"), disc("o")),
+        fields(1, F.col("v"), F.col("t"), F.col("o"), disc("t"), disc("o")),
         # discounted counts of a frequent bigram
-        fields(2, F.when(frequent, F.pmod(F.xxhash64("pair"), F.lit(1 << rules.pair_bits))).otherwise(F.lit(-1)),
-               disc("t"), disc("o"), none, none),
+        fields(F.when(frequent, 2).otherwise(-1), F.xxhash64("v", "w"), disc("t"), disc("o"), none, none),
         fields(3, F.lit(0), seen("t"), seen("o"), F.lit(1.0), none))).alias("x")).select("x.*") \
-        .where("at >= 0").groupBy("kind", "at").agg(*[F.sum(c).alias(c) for c in "pqrs"])
+        .where("kind >= 0").groupBy("kind", "at").agg(*[F.sum(c).alias(c) for c in "pqrs"])
     # words and contexts seen too rarely say nothing, and stay on the executors
     keep = (F.col("kind") >= 2) | ((F.col("kind") == 0) & (F.col("s") >= rules.min_count)) \
         | ((F.col("kind") == 1) & (F.col("r") + F.col("s") > 0))
-    got = parts.where(keep).toArrow()  # at most 2**word_bits words and contexts, 2**pair_bits bigrams
+    got = parts.where(keep).select("kind", "at", *[F.col(c).cast("float") for c in "pqrs"]) \
+        .toArrow()  # grows with the vocabulary: 25 bytes an entry
     got = {c: got.column(c).to_numpy() for c in ("kind", "at", *"pqrs")}
 
-    n, m = (1 << rules.word_bits) + 1, 1 << rules.pair_bits
-    take = lambda k: {c: x[got["kind"] == k] for c, x in got.items()}
-    total = [take(3)[c].sum() for c in "pqr"]
-    out = {"word": np.zeros((2, n), np.float32), "left": np.ones((2, n), np.float32),
-           "per": np.zeros((2, n), np.float32), "pair": np.zeros((2, m), np.float32)}
-    w = take(0)
-    at = w["at"]
-    for c, col in enumerate(("p", "q")):
+    def take(kind):
+        own = np.flatnonzero(got["kind"] == kind)
+        own = own[np.argsort(got["at"][own], kind="stable")]
+        return {c: x[own] if c == "at" else x[own].astype(np.float64) for c, x in got.items() if c != "kind"}
+
+    total = [float(x.sum()) for x in map(take(3).__getitem__, "pqr")]
+    w, out = take(0), {}
+    values = []
+    for c, col in enumerate("pq"):
         discounted = np.maximum(w[col] - rules.discount, 0.0)
         rest = max(total[c] - discounted.sum(), 1.0)
-        out["word"][c, at] = (discounted + rest * w["r"] / max(total[2], 1.0)) / max(total[c], 1.0)
+        values.append((discounted + rest * w["r"] / max(total[2], 1.0)) / max(total[c], 1.0))
+    out["word"] = w["at"], np.array(values, dtype=np.float32)
     v = take(1)
-    at = v["at"]
+    left, per = np.ones((2, len(v["at"])), np.float32), np.zeros((2, len(v["at"])), np.float32)
     for c, (count, kept) in enumerate((("p", "r"), ("q", "s"))):
-        count, kept = v[count], v[kept]
-        has = count > 0
-        out["left"][c, at[has]] = 1.0 - kept[has] / count[has]
-        out["per"][c, at[has]] = 1.0 / count[has]
+        has = v[count] > 0
+        left[c, has] = 1.0 - v[kept][has] / v[count][has]
+        per[c, has] = 1.0 / v[count][has]
+    out["context"] = v["at"], np.concatenate([left, per])
     b = take(2)
-    for c, col in enumerate(("p", "q")):
-        out["pair"][c, b["at"]] = b[col]
+    out["pair"] = b["at"], np.array([b["p"], b["q"]], dtype=np.float32)
+    return out
+
+
+def look_up(entries, at, other):
+    """Values (kinds of value x numbers) of the keys ``at``, ``other`` where there is no entry."""
+    import numpy as np
+
+    keys, values = entries
+    out = np.repeat(np.array(other, dtype=np.float32)[:, None], len(at), axis=1)
+    if len(keys):
+        place = np.minimum(np.searchsorted(keys, at), len(keys) - 1)
+        has = keys[place] == at
+        out[:, has] = values[:, place[has]]
     return out
 
 
-def spark_xxhash64_long(x):
-    """xxhash64 of 8-byte numbers with seed 42, as the SQL function gives it (numpy uint64 in, int64 out)."""
+def spark_xxhash64_long(x, seed=42):
+    """xxhash64 of 8-byte numbers, as the SQL function gives it (numpy uint64 in, int64 out); ``seed`` may be
+    the hashes (uint64) of the columns before."""
     import numpy as np
 
     u = np.uint64
     p1, p2, p3, p4, p5 = (u(0x9E3779B185EBCA87), u(0xC2B2AE3D27D4EB4F), u(0x165667B19E3779F9),
                           u(0x85EBCA77C2B2AE63), u(0x27D4EB2F165667C5))
     turn = lambda v, k: (v << u(k)) | (v >> u(64 - k))
-    h = u(42) + p5 + u(8)
+    h = (seed if isinstance(seed, np.ndarray) else u(seed)) + p5 + u(8)
     k = turn(x * p2, 31) * p1
     h = turn(h ^ k, 27) * p1 + p4
     h = (h ^ (h >> u(33))) * p2
@@ -181,13 +203,15 @@ def features(texts: list, ids: Memo, model: dict, rules: ToxicityRules):
     n = int(lengths.sum())
     if not n:
         return out
-    w = np.fromiter((ids[x] for ws in words for x in ws), dtype=np.int64, count=n)
+    w = np.fromiter((ids[x] for ws in words for x in ws), dtype=np.uint64, count=n).view(np.int64)
     first = np.cumsum(lengths) - lengths
-    v = np.concatenate([[0], w[:-1]])
-    v[first[lengths > 0]] = 1 << rules.word_bits
-    pair = np.mod(spark_xxhash64_long(((v << (rules.word_bits + 1)) | w).view(np.uint64)), 1 << rules.pair_bits)
-    lower = [model["word"][c, w] for c in (0, 1)]
-    higher = [model["pair"][c, pair] * model["per"][c, v] + model["left"][c, v] * lower[c] for c in (0, 1)]
+    v = np.concatenate([w[:1], w[:-1]])
+    v[first[lengths > 0]] = np.array([ids[START]], dtype=np.uint64).view(np.int64)
+    lower = look_up(model["word"], w, (0, 0)).astype(np.float64)
+    left, per = np.split(look_up(model["context"], v, (1, 1, 0, 0)).astype(np.float64), 2)
+    higher = left * lower
+    may = np.flatnonzero((lower[0] > 0) & (per.sum(0) > 0))  # a frequent bigram's words both have entries
+    higher[:, may] += look_up(model["pair"], pair_keys(v[may], w[may]), (0, 0)) * per[:, may]
 
     def gain(p):
         known = (p[0] > 0) & (p[1] > 0) & (lower[0] > 0)  # other words have their shared counts in both
@@ -223,7 +247,7 @@ def _feature_batches(shared, rules: ToxicityRules, carry: str):
         import numpy as np
         import pyarrow as pa
 
-        model, ids = shared.value, _numbering(rules.word_bits)
+        model, ids = shared.value, _numbering()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             rows = [features(texts[a:b], ids, model, rules) for a, b in _chunks(texts)]

@@ -13,7 +13,7 @@ from llm_rows import EDGE, docs, prose, row, rows_of  # noqa: F401
 
 from lansight.llm.quality_crf import Chains, QualityRules, fit_field, marginals, op10_quality_crf
 from lansight.llm.topk_search import SearchRules, op1_topk_search, search
-from lansight.llm.toxicity import ToxicityRules, op7_toxicity, spark_xxhash64_long
+from lansight.llm.toxicity import ToxicityRules, op7_toxicity, pair_keys, spark_xxhash64_long
 
 
 def brute_search(rows, queries, k=10, k1=1.2, b=0.75):
@@ -116,6 +116,32 @@ def test_a_toxic_word_that_always_follows_the_same_word(docs, spark):
     assert sum(y for _, y in held) > 10 and sum(a == b for a, b in held) / len(held) > 0.97
 
 
+def test_words_whose_hashes_end_alike_keep_their_own_counts(docs, spark):
+    import xxhash
+
+    rnd, seen, pairs = random.Random(12), {}, []
+    for i in range(20_000):
+        a, b = f"x{i}", seen.setdefault(xxhash.xxh64_intdigest(f"x{i}".encode()) % (1 << 20), f"x{i}")
+        if a != b:
+            pairs.append((a, b))
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(i, 120, 300).split(" ")
+        for _ in range(3):
+            words.insert(rnd.randrange(len(words)), rnd.choice(pairs[:3])[int(i % 6 == 0)])
+        rows.append(row(i, " ".join(words)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    got = op7_toxicity(docs(rows), spark.createDataFrame(labels, LABELS)).collect()
+    held = [(r.predicted, int(r.doc_id % 6 == 0)) for r in got if r.held_out]
+    assert len(pairs) > 3 and sum(a == b for a, b in held) / len(held) > 0.97
+
+
+def test_pair_keys_equal_the_sql_function(spark):
+    x = [(0, 5), (-1, 1 << 62), (123456789, -7)]
+    want = [r[0] for r in spark.createDataFrame(x, "v long, w long").selectExpr("xxhash64(v, w)").collect()]
+    assert pair_keys(*np.array(x, dtype=np.int64).T.copy()).tolist() == want
+
+
 def test_quality_on_held_out_documents(docs, spark):
     rows, labels = labelled_rows()
     got = {r.doc_id: r for r in op10_quality_crf(docs(rows, clash=True), spark.createDataFrame(labels, LABELS)).collect()}
