@@ -7,10 +7,12 @@ line's marginal probability of being good; weighted by line length they make the
 quality, and a logistic function fitted on the training documents turns that into the score.
 
 The field is fitted on a bounded sample of labelled documents (``sample_docs``, those with the
-smallest id hashes) that may be learnt from; scoring covers every line of every text.
+smallest id hashes) that may be learnt from, one row of each.  Of a long one it takes a window of
+neighbouring lines, as long as ``sample_lines`` allows for all; scoring covers every line of every text.
 
-Defined results: a null or empty text is one empty line and gets that line's score; a null doc_id
-counts as the empty text in the split; a document with several labels is learnt with each of them;
+Defined results: rows that share a chosen doc_id count once in the fit, with the text of the smallest
+hash; a null or empty text is one empty line and gets that line's score; a null doc_id counts as the
+empty text in the split; a document with several labels is learnt with each of them;
 without labels every score is 0.5; an empty table gives an empty result.
 """
 
@@ -32,7 +34,7 @@ class QualityRules:
     folds: int = 3
     held_out_fold: int = 1
     sample_docs: int = 6_000
-    #: Lines of the sample (documents beyond it, in hash order, are left out of the fit).
+    #: Lines of the sample; longer documents give windows of equal length, every document a line at least.
     sample_lines: int = 150_000
     steps: int = 120
     ridge: float = 1e-4
@@ -194,39 +196,74 @@ def prepare(texts: list):
     return potentials_of(np.concatenate([b for b, _ in parts]), first), np.concatenate([w for _, w in parts]), lengths
 
 
+def window_lines(lengths, most: int) -> int:
+    """The longest window that keeps the sum of the documents' windows within ``most``, at least 1."""
+    import numpy as np
+
+    low, high = 1, max(1, int(np.max(lengths, initial=1)))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if np.minimum(lengths, mid).sum() <= most else (low, mid - 1)
+    return low
+
+
 def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()):
     """(field, calibration) from the sample, or None without labels."""
     import numpy as np
 
     learn = remainder(rules.folds) != rules.held_out_fold
     chosen = sample_labels(labels, "quality", learn, rules.sample_docs)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id")  # at most sample_docs rows
+    ids = chosen.select("doc_id").distinct()
+    text = F.col("text").cast("binary")
+    breaks = F.length(F.col("text")) - F.length(F.translate("text", "\n", ""))
+    rows = docs.select("doc_id", text.alias("text"), F.coalesce(breaks + 1, F.lit(1)).cast("long").alias("lines"),
+                       F.xxhash64(text).alias("hash"))
+    own = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id") \
+        .agg(F.min(F.struct("hash", "lines")).alias("x")).select("doc_id", "x.hash", "x.lines")
+    own = own.toArrow()  # at most sample_docs rows of a few bytes
+    width = window_lines(own.column("lines").to_numpy(), rules.sample_lines)
+    picked = docs.sparkSession.createDataFrame(own).select("doc_id", "hash")
+    rows = rows.join(F.broadcast(picked), ["doc_id", "hash"]).select("doc_id", "hash", "text")
 
     def shape(batches):
         import pyarrow as pa
 
+        seen = set()  # at most sample_docs ids: repeated rows leave a task once
         for batch in batches:
-            found = [line_features(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("quality"), pa.array([len(b) for b, _ in found], pa.int64()),
-                 pa.array([b.astype("u1").tobytes() for b, _ in found], pa.binary()),
-                 pa.array([w.tobytes() for _, w in found], pa.binary())],
-                names=["doc_id", "quality", "lines", "bins", "weights"])
-
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "quality"))
-    shaped = rows.mapInArrow(shape, f"{kinds}, lines long, bins binary, weights binary").toArrow().to_pandas()
-    shaped = shaped.sort_values(list(shaped.columns))
-    shaped = shaped.iloc[np.random.default_rng(1).permutation(len(shaped))]
-    shaped = shaped[shaped["lines"].cumsum() <= rules.sample_lines]
+            out = []
+            for doc_id, at, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "hash", "text"))):
+                if doc_id in seen:
+                    continue
+                seen.add(doc_id)
+                bins, weight = line_features(text)
+                start = at % max(1, len(bins) - width + 1)
+                end = min(len(bins), start + width)
+                low, high = max(0, start - 1), min(len(bins), end + 1)  # with the lines that it neighbours
+                out.append((doc_id, high - low, start - low, high - end, bins[low:high].astype("u1").tobytes(),
+                            weight[low:high].tobytes()))
+            kinds = (batch.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
+                                             names=["doc_id", "lines", "before", "after", "bins", "weights"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    parts = ("lines", "before", "after", "bins", "weights")
+    shaped = rows.mapInArrow(shape, f"doc_id {kind}, lines long, before long, after long, bins binary, weights binary") \
+        .groupBy("doc_id").agg(F.min(F.struct(*parts)).alias("x")).select("doc_id", "x.*") \
+        .join(F.broadcast(chosen), "doc_id").toArrow().to_pandas()  # a document once per label
+    shaped = shaped.sort_values(["doc_id", "quality"])
     if not len(shaped):
         return None
     lengths = shaped["lines"].to_numpy()
     bins = np.frombuffer(b"".join(shaped["bins"]), np.uint8).reshape(-1, WIDTH).astype(np.int64)
     weight = np.frombuffer(b"".join(shaped["weights"]), np.float64)
+    start = np.cumsum(lengths) - lengths
     first = np.zeros(len(bins), dtype=bool)
-    first[np.cumsum(lengths) - lengths] = True
-    index = potentials_of(bins, first)
+    first[start] = True
+    inner = np.ones(len(bins), dtype=bool)  # neighbours of a window are features, not lines of the fit
+    inner[start[shaped["before"].to_numpy() > 0]] = False
+    inner[(start + lengths - 1)[shaped["after"].to_numpy() > 0]] = False
+    index, weight = potentials_of(bins, first)[inner], weight[inner]
+    lengths = lengths - shaped["before"].to_numpy() - shaped["after"].to_numpy()
     good = (shaped["quality"].to_numpy() > 0).astype(int)
     model = fit_field(index, np.repeat(good, lengths), lengths, rules)
     quality = document_quality(index, weight, Chains(lengths), model)

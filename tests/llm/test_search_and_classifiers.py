@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from llm_rows import EDGE, docs, prose, row, rows_of  # noqa: F401
 
-from lansight.llm.quality_crf import Chains, QualityRules, fit_field, marginals, op10_quality_crf
+from lansight.llm.quality_crf import Chains, QualityRules, fit_field, marginals, op10_quality_crf, window_lines
+from lansight.llm.quality_crf import score_documents as quality_documents
 from lansight.llm.topk_search import SearchRules, op1_topk_search, search
 from lansight.llm.toxicity import ToxicityRules, op7_toxicity, pair_keys, spark_xxhash64_long
 
@@ -149,6 +150,25 @@ def test_quality_on_held_out_documents(docs, spark):
     assert len(held) > 100 and sum(a == b for a, b in held) / len(held) > 0.97
 
 
+def test_long_documents_leave_the_quality_sample_whole(docs, spark):
+    rows, labels = labelled_rows(150)
+    rows = [row(r[0], "\n".join([r[1]] * 30)) for r in rows]  # a document has about as many lines as the sample
+    rows += [row(1, rows[1][1])] * 40  # a hot id
+    rules = QualityRules(sample_lines=400)
+    got = quality_documents(docs(rows), spark.createDataFrame(labels, LABELS), rules).collect()
+    held = {r.doc_id: (r.predicted, int(r.doc_id % 5 != 0)) for r in got if r.held_out}
+    assert len(got) == len(rows) and len(held) > 30
+    assert sum(a == b for a, b in held.values()) / len(held) > 0.97
+
+
+def test_windows_fill_the_sample():
+    for lengths, most in (([5, 100, 7], 30), ([1, 1], 1), ([4, 4], 8), ([], 9), ([10**6, 3], 150_000)):
+        width = window_lines(np.array(lengths, dtype=np.int64), most)
+        taken = lambda k: sum(min(x, k) for x in lengths)
+        assert width == 1 or taken(width) <= most
+        assert width >= max(lengths, default=1) or taken(width + 1) > most
+
+
 def test_labels_of_held_out_rows_are_not_used(docs, spark):
     import zlib
 
