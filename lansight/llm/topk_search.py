@@ -9,7 +9,8 @@ In a shard, documents are ordered by their most frequent common words (texts of
 together) and cut into blocks.  A term's postings know the largest impact per block.  Per query the
 block maxima of its terms add up to an upper bound for every block; blocks are scored from the
 highest bound down, and once ``k`` documents are known every block whose bound is under the
-``k``-th score is skipped: it can't hold a better document.  Scores add in term order in double
+``k``-th score is skipped: it can't hold a better document.  This block-at-a-time pruning stands in for
+block-max WAND: there are no posting cursors, pivots or skips inside a list.  Scores add in term order in double
 precision, so equal texts have equal scores in any shard.
 
 A query is a whole text: its distinct words (A-Z lower-cased).  Score: sum over them of
