@@ -34,7 +34,6 @@ from lansight.llm.common import Memo, ship
 ship(__name__)
 
 MARK = "▁"  # fixed value
-TAIL = 5  # last characters that candidates are remembered by
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -88,6 +87,7 @@ class Encoder:
         self.bound = bound  # of the words remembered from chunk to chunk
         self.pieces, self.scores, self.bpe = pieces, pieces.scores, pieces.kind == "bpe"
         self.longest = max(map(len, pieces.scores))
+        self.turned = 0  # transitions of the automaton that were added after it was built
         self.floor = min(s for _, s in pieces.scores.values()) - 10.0
         # a line break without a piece parts words as well
         cut = "" if any("\n" in p for p in pieces.scores) else "\n"
@@ -95,9 +95,9 @@ class Encoder:
         self.ids = {p: i for p, (i, _) in pieces.scores.items()}
         self.names = {i: p for p, i in self.ids.items()}
         self.none = max(self.names) + 1  # in place of a last piece: a word's start or an unknown character
-        self.pairs = Memo(self._pair_stands, 400_000)
-        self.long_tails = {p[-TAIL:] for p in self.ids if len(p) > TAIL}
-        self.tails = Memo(self._pieces_ending, 100_000)
+        self.pairs = Memo(self._pair_stands, 600_000)
+        if self.bpe:
+            self._build_automaton()
         self.known: dict[str, bytes] = {}  # a word's ids as little-endian 32-bit numbers
 
     def _merged(self, text: str) -> list[str]:
@@ -121,36 +121,64 @@ class Encoder:
         before = [self.names[a]] if a != self.none else []
         return self._merged("".join(before) + name) == before + [name]
 
-    def _pieces_ending(self, tail: str) -> tuple[bool, tuple[tuple[int, int], ...]]:
-        """Of a prefix's last characters: whether longer pieces may end there, and the (length, id) of
-        the pieces within, the longest first."""
-        found = ((len(tail) - i, self.ids.get(tail[i:])) for i in range(len(tail)))
-        return tail in self.long_tails, tuple((n, i) for n, i in found if i is not None)
-
-    def _extend_bpe(self, word: str, shared: int, last: list[int], start_of: list[int], best: list[float]) -> None:
-        """States of the prefixes longer than ``shared``: (last piece, its start); one path each."""
-        ids, pairs, tails, longest, none = self.ids.get, self.pairs, self.tails, self.longest, self.none
-        scale = none + 1
+    def _build_automaton(self) -> None:
+        """The pieces' own trie with fail links, so that one step a character tells all pieces that end there:
+        goto[node] by character, fail[node], ends[node] as (length, id), the longest first."""
+        goto, fail, ends, depth = [{}], [0], [()], [0]
+        for piece, i in self.ids.items():
+            node = 0
+            for ch in piece:
+                if ch not in goto[node]:
+                    goto[node][ch] = len(goto)
+                    goto.append({})
+                    fail.append(0)
+                    ends.append(())
+                    depth.append(depth[node] + 1)
+                node = goto[node][ch]
+            ends[node] = ((len(piece), i),)
+        self.goto, self.fail, self.ends = goto, fail, ends
+        row = list(goto[0].values())
+        while row:
+            below = []
+            for node in row:
+                for ch, child in goto[node].items():
+                    back = fail[node]
+                    while back and ch not in goto[back]:
+                        back = fail[back]
+                    fail[child] = goto[back].get(ch, 0)
+                    ends[child] += ends[fail[child]]
+                    below.append(child)
+            row = below
+
+    def _turn(self, node: int, ch: str, bound: int = 300_000) -> int:
+        """The node after a character that the trie doesn't go on with, remembered while there is room."""
+        back = self.fail[node]
+        while back and ch not in self.goto[back]:
+            back = self.fail[back]
+        back = self.goto[back].get(ch, 0)
+        if self.turned < bound:
+            self.turned += 1
+            self.goto[node][ch] = back
+        return back
+
+    def _extend_bpe(self, word: str, shared: int, last: list[int], start_of: list[int], nodes: list[int]) -> None:
+        """States of the prefixes longer than ``shared``: (last piece, its start, the automaton's node); one
+        path each."""
+        goto, ends, pairs, none = self.goto, self.ends, self.pairs, self.none
+        scale, node = none + 1, nodes[shared]
         for end in range(shared + 1, len(word) + 1):
-            more, near = tails[word[end - TAIL if end > TAIL else 0:end]]
-            if more:
-                for start in range(end - longest if end > longest else 0, end - TAIL):
-                    piece = ids(word[start:end])
-                    if piece is not None and pairs[last[start] * scale + piece]:
-                        last.append(piece)
-                        start_of.append(start)
-                        break
-                else:
-                    more = False
-            if not more:
-                for length, piece in near:
-                    if pairs[last[end - length] * scale + piece]:
-                        last.append(piece)
-                        start_of.append(end - length)
-                        break
-                else:  # a character without a piece merges with nothing
-                    last.append(none)
-                    start_of.append(end - 1)
+            ch = word[end - 1]
+            to = goto[node].get(ch)
+            node = self._turn(node, ch) if to is None else to
+            nodes.append(node)
+            for length, piece in ends[node]:
+                if pairs[last[end - length] * scale + piece]:
+                    last.append(piece)
+                    start_of.append(end - length)
+                    break
+            else:  # a character without a piece merges with nothing
+                last.append(none)
+                start_of.append(end - 1)
 
     def _extend_unigram(self, word: str, shared: int, last: list[int], start_of: list[int], best: list[float]) -> None:
         """States of the prefixes longer than ``shared``: (best score, last piece, its start)."""
@@ -186,7 +214,7 @@ class Encoder:
         if len(self.known) > self.bound:
             self.known.clear()
         extend = self._extend_bpe if self.bpe else self._extend_unigram
-        last, start_of, best, before = [self.none], [0], [0.0], ""
+        last, start_of, best, before = [self.none], [0], [0], ""  # best: scores, or the automaton's nodes
         for word in sorted(words.difference(self.known)):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
