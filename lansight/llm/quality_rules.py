@@ -2,7 +2,10 @@
 
 Repetitive text compresses far better than prose and random text far worse.  A document's
 zstandard ratio (compressed bytes / bytes) must lie in the band of its length, and so must the
-ratios of its fixed-length chunks, which find a bad stretch inside an otherwise good document.
+ratios of its fixed-length chunks, which find a bad stretch inside an otherwise good document.  The
+last chunk ends at the text's end and may overlap the one before, so every byte is judged.  Texts
+too short for such chunks have smaller ones with wider limits, as ratios of short stretches scatter;
+texts shorter than the smallest chunk are judged by their band alone.
 
 Counting rules go first: word counts, symbols, repeated lines and words in repeated three-word
 windows.  ``base_failed`` is their verdict, ``kept`` adds the compression verdict.
@@ -41,9 +44,8 @@ class CompressionRules:
         Band(0, 0.0, 99.0), Band(64, 0.0, 1.6), Band(128, 0.30, 1.2), Band(256, 0.30, 1.0),
         Band(512, 0.30, 0.85), Band(1024, 0.28, 0.75), Band(4096, 0.25, 0.72), Band(32768, 0.22, 0.70),
     )
-    chunk_bytes: int = 4096
-    chunk_low: float = 0.22
-    chunk_high: float = 0.75
+    #: (bytes, lowest, highest ratio) of the chunks; a text takes the longest that is shorter than itself.
+    chunks: tuple[tuple[int, float, float], ...] = ((4096, 0.22, 0.75), (1024, 0.20, 0.82))
     bad_chunk_share: float = 0.30
     level: int = 3
     min_words: int = 50
@@ -97,12 +99,13 @@ def judge(text: bytes, rules: CompressionRules, compress) -> tuple:
     size = len(text)
     ratio = len(compress(text)) / size if size else 0.0
     band = max((b for b in rules.bands if b.at_least <= size), key=lambda b: b.at_least)
-    step, bad, chunks = rules.chunk_bytes, 0, 0
-    if size > step:
-        for at in range(0, size - step + 1, step):  # whole chunks; a shorter tail has no ratio of its own
+    bad, chunks = 0, 0
+    step, low, high = max((c for c in rules.chunks if c[0] < size), default=(0, 0.0, 0.0))
+    if step:
+        for at in [*range(0, size - step, step), size - step]:
             r = len(compress(text[at:at + step])) / step
             chunks += 1
-            bad += not rules.chunk_low <= r <= rules.chunk_high
+            bad += not low <= r <= high
     in_band = not size or (band.low <= ratio <= band.high and bad <= rules.bad_chunk_share * chunks)
     return n_words, word_chars, n_symbols, n_dup, repeat, ratio, chunks, bad, base_failed, not base_failed and in_band
 
