@@ -100,9 +100,10 @@ def shard_documents(docs: DataFrame, path: str, rules: ShardRules = ShardRules()
 def op12_sharding(docs: DataFrame) -> DataFrame:
     """Only the digest columns go through the shuffle: the texts stay where they are."""
     rules = ShardRules()
-    text = text_of().cast("binary")
+    text, here = text_of().cast("binary"), scratch_path(docs.sparkSession, "shards")
     slim = docs.select("doc_id", (F.octet_length(text).cast("long") + rules.overhead).alias("size"),
                        F.crc32(text).alias("text_crc32"))
-    placed = number_slots(assign(slim, rules), scratch_path(docs.sparkSession, "shards"),
-                          ["doc_id", "text_crc32", "size"])
+    # written first: range partitioning reads its input twice, and this reads the texts once
+    slim = materialize(assign(slim, rules), f"{here}/assigned")
+    placed = number_slots(slim, f"{here}/placed", ["doc_id", "text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
