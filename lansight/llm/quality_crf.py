@@ -270,6 +270,18 @@ def fit(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()
     return model, fit_logistic(quality[:, None], good, ridge=0.01)
 
 
+def chunks_of(texts: list, most_lines: int = 20_000):
+    """Runs of texts of about ``most_lines`` lines, so that memory follows the lines and not the texts."""
+    at, lines = 0, 0
+    for i, text in enumerate(texts):
+        lines += 1 + (text or b"").count(b"\n")
+        if lines >= most_lines:
+            yield texts[at:i + 1]
+            at, lines = i + 1, 0
+    if at < len(texts):
+        yield texts[at:]
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
     fitted = fit(docs, labels, rules)
@@ -281,8 +293,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qu
         for batch in batches:
             texts = batch.column("text").to_pylist()
             out = [np.full(0, 0.5)]
-            for at in range(0, len(texts), 500):
-                part = texts[at:at + 500]
+            for part in chunks_of(texts):
                 if fitted is None:
                     out.append(np.full(len(part), 0.5))
                     continue

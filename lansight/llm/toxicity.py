@@ -265,10 +265,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, rules: ToxicityRules = T
     kind = docs.schema["doc_id"].dataType.simpleString()
     fold = remainder(rules.folds)
     columns = ", ".join(f"{c} double" for c in FEATURES)
-    chosen = sample_labels(labels, "toxic", fold == rules.calibration_fold, rules.calibration_rows)
-    cases = slim.join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("label")) \
-        .mapInArrow(_feature_batches(shared, rules, "label"), f"label int, {columns}") \
+    chosen = sample_labels(labels, "toxic", fold == rules.calibration_fold, rules.calibration_rows) \
+        .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    # of rows that repeat an id one is learnt from: features leave the tasks, texts stay there
+    cases = slim.join(F.broadcast(chosen), "doc_id") \
+        .select("text", "label", F.struct("doc_id", F.xxhash64("text").alias("hash"), "label").alias("case")) \
+        .mapInArrow(_feature_batches(shared, rules, "case"), f"case struct<doc_id: {kind}, hash: long, label: int>, {columns}") \
+        .groupBy("case.doc_id").agg(F.min(F.struct("case.hash", "case.label", *FEATURES)).alias("x")).select("x.*") \
         .toArrow().to_pandas()  # at most calibration_rows
+    cases = cases.drop(columns="hash")
     cases = cases.sort_values(list(cases.columns))
     weights = [float(w) for w in fit_logistic(
         cases[list(FEATURES)].to_numpy(), cases["label"].to_numpy() > 0)]
