@@ -1,7 +1,7 @@
 """Exact top-k BM25 search over sharded inverted indexes with block-max pruning.
 
-Documents are dealt evenly into shards of about ``shard_docs``; a task builds one shard's inverted
-index in memory that is bounded by the shard, and streams the queries through it.  All shards use
+Documents are dealt into shards of about ``shard_words`` words, equal rows apart; a task builds one
+shard's inverted index in memory that is bounded by the shard, and streams the queries through it.  All shards use
 the corpus's own document count, mean length and document frequencies, so a document's score does
 not depend on its shard and the shards' best ``k`` merge into the exact best ``k``.
 
@@ -41,7 +41,7 @@ class SearchRules:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    shard_docs: int = 12_288
+    shard_words: int = 6_500_000
     block_docs: int = 64
     first_blocks: int = 4
 
@@ -257,7 +257,8 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
                         .groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")),
                         f"{here}/statistics")
     whole = stats.where("term IS NULL").first()
-    n, mean = (whole["docs"], whole["words"] / whole["docs"]) if whole else (0, 0.0)
+    n, words = (whole["docs"], whole["words"]) if whole else (0, 0)
+    mean = words / n if n else 0.0
     asked = queries.select(F.col("query_id").cast("long").alias("query_id"), F.xxhash64("text").alias("key"), body) \
         .where("query_id IS NOT NULL").dropDuplicates(["query_id", "key"]) \
         .mapInArrow(_query_terms, "query_id long, key long, term long")
@@ -268,9 +269,11 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
     ready = materialize(weighed.groupBy("query_id", "key").agg(pairs.alias("p"))
                         .select("query_id", "key", F.col("p.term").alias("terms"), F.col("p.idf").alias("idfs")),
                         f"{here}/queries")
-    shards = max(1, -(-n // rules.shard_docs))
+    shards = max(1, -(-words // rules.shard_words))
     absent = lambda kind: F.lit(None).cast(kind)
-    dealt = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(shards)).alias("shard"), F.lit(False).alias("is_query"),
+    # a number per row keeps equal rows from meeting in one shard; which one they meet in changes no score
+    dealt = rows.withColumn("row", F.monotonically_increasing_id()).select(
+        F.pmod(F.xxhash64("id", "text", "row"), F.lit(shards)).alias("shard"), F.lit(False).alias("is_query"),
                         "id", absent("long").alias("key"), "text", absent("array<long>").alias("terms"),
                         absent("array<double>").alias("idfs"))
     asking = ready.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))) \

@@ -36,7 +36,7 @@ def brute_search(rows, queries, k=10, k1=1.2, b=0.75):
     return out
 
 
-@pytest.mark.parametrize("rules", [SearchRules(), SearchRules(shard_docs=40, block_docs=4, first_blocks=1, k=7)])
+@pytest.mark.parametrize("rules", [SearchRules(), SearchRules(shard_words=2_000, block_docs=4, first_blocks=1, k=7)])
 def test_top_k_equals_brute_force(docs, rules):
     rnd = random.Random(8)
     rows = EDGE + [row(100 + i, prose(i, rnd.randrange(3, 90), 120)) for i in range(200)]
