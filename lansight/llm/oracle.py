@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lansight.llm.chat_format import AFTER_ROLE, END, ESCAPES, ROLE_ESCAPES, START, ChatRules
 from lansight.llm.line_dedup import LineRules
+from lansight.llm.near_dedup import SketchRules
 from lansight.llm.periodic_runs import RunRules
 from lansight.llm.sharding import DIGITS, ShardRules
 
@@ -105,6 +106,23 @@ FROM nodes JOIN subtrees USING (k) LEFT JOIN families USING (k) LEFT JOIN ends U
 LEFT JOIN nodes AS above ON above.k = nodes.parent
 """
 
+_SKETCH = SketchRules()
+
+NEAR_DEDUP = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id,
+  {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+sets AS (SELECT r, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {_SKETCH.words} THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(len(w) - {_SKETCH.words - 1}), lambda i: array_to_string(w[i + 1:i + {_SKETCH.words}], ' ')) END) AS s
+  FROM docs),
+shingles AS (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT a.r AS a, b.r AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= {_SKETCH.percent} * (a.n + b.n - count(*))),
+reach AS (SELECT r, r AS other FROM sets UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other),
+named AS (SELECT reach.r, min(sets.doc_id) AS component FROM reach JOIN sets ON sets.r = reach.other GROUP BY reach.r)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, CASE WHEN doc_id IS NOT NULL THEN component END AS component_id,
+  coalesce(doc_id = component, true) AS kept FROM sets JOIN named USING (r)
+"""
+
 _SHARDS = ShardRules()
 
 SHARDING = f"""
@@ -150,6 +168,7 @@ FROM again LEFT JOIN told USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USIN
 LLM_ORACLES = {
     "op3_chat_format": CHAT_FORMAT,
     "op4_line_dedup": LINE_DEDUP,
+    "op5_near_dedup": NEAR_DEDUP,
     "op11_prefix_trie": PREFIX_TRIE,
     "op12_sharding": SHARDING,
     "op13_periodic_runs": PERIODIC_RUNS,
