@@ -43,6 +43,9 @@ class ArpConfig:
     # streaming
     max_files_per_trigger: int = 1
     watermark_seconds: int = 15
+    # packets dated later than their arrival by more than this are set aside on streams
+    clock_ahead_seconds: int = 86_400
+    stream_retries: int = 3
 
     # sources
     kafka_bootstrap_servers: str = "localhost:9092"

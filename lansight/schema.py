@@ -21,6 +21,8 @@ RAW_FIELDS = (
 RAW_SCHEMA = StructType([StructField(n, t, True) for n, t in RAW_FIELDS])
 RAW_COLUMNS = tuple(n for n, _ in RAW_FIELDS)
 CORRUPT_COLUMN = "_corrupt_record"
+#: When a packet's file was written, or its record came in.
+ARRIVAL = "_arrival"
 RAW_SCHEMA_WITH_CORRUPT = StructType(RAW_SCHEMA.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
 
 ENRICHED_COLUMNS = (

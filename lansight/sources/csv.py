@@ -4,9 +4,10 @@ to stage captures.  The schema is fixed, never inferred; fields match by positio
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lansight.config import DEFAULT, ArpConfig
-from lansight.schema import CORRUPT_COLUMN, RAW_SCHEMA, RAW_SCHEMA_WITH_CORRUPT
+from lansight.schema import ARRIVAL, CORRUPT_COLUMN, RAW_SCHEMA, RAW_SCHEMA_WITH_CORRUPT
 
 
 def _reader(r, keep_corrupt: bool, header: bool = True):
@@ -32,9 +33,11 @@ def read_csv_batch(spark: SparkSession, path: str, keep_corrupt: bool = False, h
 
 
 def read_csv_stream(spark: SparkSession, path: str, cfg: ArpConfig = DEFAULT,
-                    max_files_per_trigger: int | None = None, keep_corrupt: bool = False) -> DataFrame:
+                    max_files_per_trigger: int | None = None, keep_corrupt: bool = False,
+                    arrival: bool = False) -> DataFrame:
     """The same folder as a stream of new ``*.csv`` files, taken in
-    modification-time order, ``max_files_per_trigger`` per micro-batch."""
+    modification-time order, ``max_files_per_trigger`` per micro-batch.
+    ``arrival`` adds the time each packet's file was written (for the clock guard)."""
     mf = cfg.max_files_per_trigger if max_files_per_trigger is None else max_files_per_trigger
     r = spark.readStream
     if mf:  # 0 = no limit: every new file in one micro-batch
@@ -43,7 +46,8 @@ def read_csv_stream(spark: SparkSession, path: str, cfg: ArpConfig = DEFAULT,
          .option("recursiveFileLookup", "false")
          .option("ignoreLeadingWhiteSpace", "true")
          .option("ignoreTrailingWhiteSpace", "true"))
-    return _reader(r, keep_corrupt).csv(path)
+    out = _reader(r, keep_corrupt).csv(path)
+    return out.select("*", F.col("_metadata.file_modification_time").alias(ARRIVAL)) if arrival else out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lansight.config import DEFAULT, ArpConfig
-from lansight.schema import RAW_COLUMNS, RAW_SCHEMA
+from lansight.schema import ARRIVAL, RAW_COLUMNS, RAW_SCHEMA
 
 
 def encode_packets(raw: DataFrame) -> DataFrame:
@@ -21,13 +21,17 @@ def decode_packets(messages: DataFrame, value: Column | str = "value") -> DataFr
 
 
 def read_kafka_stream(spark: SparkSession, cfg: ArpConfig = DEFAULT, topic: str | None = None,
-                      bootstrap_servers: str | None = None) -> DataFrame:
+                      bootstrap_servers: str | None = None, arrival: bool = False) -> DataFrame:
     """S3: packets from a Kafka topic of JSON values.  Needs the
-    spark-sql-kafka package on the classpath (not present in the test image)."""
+    spark-sql-kafka package on the classpath (not present in the test image).
+    ``arrival`` adds the record's own time (for the clock guard)."""
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", bootstrap_servers or cfg.kafka_bootstrap_servers)
            .option("subscribe", topic or cfg.kafka_topic)
            .option("startingOffsets", "latest")
            .option("failOnDataLoss", "false")
            .load())
-    return decode_packets(raw, "value")
+    if not arrival:
+        return decode_packets(raw, "value")
+    return raw.select(F.from_json(F.col("value").cast("string"), RAW_SCHEMA).alias("data"),
+                      F.col("timestamp").alias(ARRIVAL)).select("data.*", ARRIVAL)

@@ -1,35 +1,31 @@
-"""Per-IP state function for the streaming IP -> MAC remap.
+"""Per-address state of the streaming IP -> MAC remap: the last MAC, nothing else.
 
-Kept free of package imports and shipped to executors by value (see
+What arrives is one row per (address, short time bucket), already reduced to its first claim, its
+last MAC and the changes between; buckets come when the watermark has passed them, so no earlier one
+can follow.  Kept free of package imports and shipped to executors by value (see
 ``compile.stream_ip_mac_remap``), so workers need nothing installed."""
 
-HELD = ("epoch_ts", "mac", "eth_src", "event_us")
+from pyspark.sql import Row
+from pyspark.sql.streaming import StatefulProcessor
 
 
-def remap_group(key, frames, state):
-    """Per IP: hold claims until the watermark has passed them, then chain them in order of (epoch,
-    MAC, source) to the last MAC, emit the changes and keep the last MAC."""
-    import pandas as pd
+class RemapProcessor(StatefulProcessor):
+    def init(self, handle):
+        self.last = handle.getValueState("last_mac", "mac string")
 
-    (ip,) = key
-    last, *held = state.get if state.exists else (None, [], [], [], [])
-    claims = pd.DataFrame(dict(zip(HELD, map(list, held))))
-    if not state.hasTimedOut:
-        new = [f[list(HELD)] for f in frames]
-        claims = pd.concat([*([claims] if len(claims) else []), *new], ignore_index=True)
-    mark = state.getCurrentWatermarkMs()
-    final = claims["event_us"] <= mark * 1000
-    ready = claims[final].sort_values(["epoch_ts", "mac", "eth_src"], kind="mergesort", na_position="first")
-    rest = claims[~final]
-    prev = ready["mac"].shift(1)
-    if len(ready):
-        prev.iloc[0] = last
-        last = str(ready["mac"].iloc[-1])
-    changed = prev.notna() & (prev != ready["mac"])
-    state.update((last, [float(x) for x in rest["epoch_ts"]], list(rest["mac"]), list(rest["eth_src"]),
-                  [int(x) for x in rest["event_us"]]))
-    if len(rest):
-        state.setTimeoutTimestamp(max(int(rest["event_us"].min()) // 1000, mark + 1))
-    out = ready[changed]
-    yield pd.DataFrame({"event_us": out["event_us"].astype("int64"), "ip": ip, "previous_mac": prev[changed],
-                        "new_mac": out["mac"], "eth_src": out["eth_src"], "heuristic": "IP-MAC remap"})
+    def handleInputRows(self, key, rows, timerValues):
+        (ip,) = key
+        mac = self.last.get()[0] if self.last.exists() else None
+        for b in sorted(rows, key=lambda r: r["settled_at"]):
+            at, first = b["settled_at"], b["first"]
+            if mac is not None and mac != first["mac"]:
+                yield Row(settled_at=at, event_us=first["event_us"], ip=ip, previous_mac=mac, new_mac=first["mac"],
+                          eth_src=first["eth_src"])
+            for change in b["changes"]:
+                yield Row(settled_at=at, event_us=change["event_us"], ip=ip, previous_mac=change["previous_mac"],
+                          new_mac=change["new_mac"], eth_src=change["eth_src"])
+            mac = b["last_mac"]
+        self.last.update((mac,))
+
+    def close(self):
+        pass

@@ -25,6 +25,7 @@ from lansight.plans import report
 from lansight.schema import RAW_SCHEMA
 from lansight.session import scratch_path
 from lansight.sources import csv as csv_source
+from lansight.streaming.early import early_sink, latest
 from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noqa: F401  (re-exported)
 
 # Reserved MAC / IP of the end-of-capture marker and how far after
@@ -103,25 +104,35 @@ class Replay:
 
 def replay(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], DataFrame], name: str,
            slices: int = 4, cfg: ArpConfig = DEFAULT, partition_by: Sequence[str] = (),
-           max_files_per_trigger: int = 0) -> tuple[DataFrame, Replay]:
+           max_files_per_trigger: int = 0, first: DataFrame | None = None, arrival: bool = False,
+           upsert_keys: Sequence[str] = ()) -> tuple[DataFrame, Replay]:
     """Replay ``raw`` as a CSV stream through ``build`` into a Parquet sink.
 
-    Returns the sink read back (marker rows removed) and the folders used."""
+    Returns the sink read back (marker rows removed) and the folders used.  ``first``: packets that come
+    with the first slice whatever their time; ``arrival``: the stream carries its files' times;
+    ``upsert_keys``: early results in update mode, read back as the latest row of each key."""
     root = scratch_path(spark, f"stream-{name}")
     rp = Replay(f"{root}/inbox", f"{root}/out", f"{root}/checkpoint", 0)
     parts = time_slices(raw, slices)
     hi = raw.agg(F.max(F.expr(clean_epoch_sql("`frame.time_epoch`"))).alias("hi")).first()["hi"] or 0.0
+    if first is not None:
+        parts[0] = parts[0].unionByName(first)
     parts.append(end_marker(spark, hi))
     for part in parts:
         csv_source.write_csv(part, rp.inbox)
-        stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger)
-        q = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by) \
-            .trigger(availableNow=True).start()
+        stream = csv_source.read_csv_stream(spark, rp.inbox, cfg, max_files_per_trigger=max_files_per_trigger,
+                                            arrival=arrival)
+        if upsert_keys:
+            writer = early_sink(build(stream), rp.out, rp.checkpoint)
+        else:
+            writer = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by)
+        q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {name} failed: {q.exception()}")
         rp.batches += 1
-    return drop_marker(spark.read.parquet(rp.out), hi), rp
+    back = latest(spark, rp.out, upsert_keys) if upsert_keys else spark.read.parquet(rp.out)
+    return drop_marker(back, hi), rp
 
 
 def microbatch_alerts(spark: SparkSession, raw_stream: DataFrame, out: str, checkpoint: str,
