@@ -198,7 +198,7 @@ def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     the join key includes the second, so a hot pair's replies spread over its
     seconds (a coarser time bucket would gather a minute of them in one task)."""
     if cfg.time_precision != "seconds":
-        raise ValueError("request_reply_match counts whole-second event time")
+        return _matches_asof(df, cfg.unsolicited_lookback)
     L = cfg.unsolicited_lookback
     sec = F.unix_seconds(c("event_ts"))
     # one row per pair and second first, so a burst is copied to its covered seconds once
@@ -226,3 +226,44 @@ def request_reply_match(df: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     )
 
 
+
+
+def _matches_asof(df: DataFrame, lookback: int, bucket_seconds: int | None = None) -> DataFrame:
+    """J2 for times with fractions.  Requests, replies and the requests' expiries of a pair are put in order
+    of time; running sums give every reply the number of requests that are open, the latest request is
+    the last, and the first is the one behind the latest that expired (all stay open equally long, so they
+    expire in the order they came).  One sort and running frames: linear in a burst.  Pairs are cut into
+    time buckets, requests copied into the next one when they are open that long."""
+    lb = lookback * 1_000_000
+    width = max(bucket_seconds or 12 * lookback, lookback, 1) * 1_000_000
+    us = F.unix_micros("event_ts")
+    requests = (df.filter(c("is_request") & c("arp_dst_ip").isNotNull() & c("arp_src_ip").isNotNull()
+                          & c("event_ts").isNotNull())
+                .groupBy(c("arp_dst_ip").alias("ip"), c("arp_src_ip").alias("peer"), us.alias("t"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    open_in = F.array_distinct(F.array((c("t") - F.pmod(c("t"), F.lit(width))),
+                                       (c("t") + lb - F.pmod(c("t") + lb, F.lit(width)))))
+    copied = requests.withColumn("bucket", F.explode(open_in))
+    then = F.lead("t").over(Window.partitionBy("ip", "peer", "bucket").orderBy("t"))
+    none = F.lit(None).cast("long")
+
+    def mark(at, kind, n, asked, then):
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), n.alias("n"), asked.alias("asked"), then.alias("then"))
+
+    # at one time requests come before replies, and a reply before the expiry
+    marks = copied.withColumn("then", then).select("ip", "peer", "bucket", F.explode(F.array(
+        mark(c("t"), 0, c("n"), c("t"), none), mark(c("t") + lb, 2, -c("n"), none, c("then")))).alias("m")) \
+        .select("ip", "peer", "bucket", "m.*")
+    replies = _replies(df).filter(c("rep_src_ip").isNotNull() & c("rep_dst_ip").isNotNull() & c("rep_ts").isNotNull())
+    payload = ("rep_ts", "rep_eth_src", "rep_src_mac")
+    at = F.unix_micros("rep_ts")
+    both = replies.select(c("rep_src_ip").alias("ip"), c("rep_dst_ip").alias("peer"), (at - F.pmod(at, F.lit(width))).alias("bucket"),
+                          at.alias("at"), F.lit(1).alias("kind"), *payload).unionByName(marks, allowMissingColumns=True)
+    so_far = Window.partitionBy("ip", "peer", "bucket").orderBy("at", "kind") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = both.withColumns({"matching_requests": F.sum("n").over(so_far), "last": F.max("asked").over(so_far),
+                             "first": F.coalesce(F.max("then").over(so_far), F.min("asked").over(so_far))})
+    return told.filter((c("kind") == 1) & (c("matching_requests") > 0)).select(
+        c("rep_ts").alias("time"), c("rep_eth_src").alias("mac"), c("ip"), c("peer").alias("target_ip"),
+        c("rep_src_mac").alias("advertised_mac"), "matching_requests",
+        F.timestamp_micros("first").alias("first_request_ts"), F.timestamp_micros("last").alias("last_request_ts"))

@@ -25,25 +25,28 @@ ev2 AS (
          event_type IN ('error', 'purchase') AND NOT (burst AND event_type = 'purchase') AS rep,
          event_type = 'error' AND value >= 250 AS spoof,
          event_type = 'signup' AND value >= 250 AS probe,
-         event_type = 'view' AND value < 1 AS garp
+         event_type = 'view' AND (value < 1 OR (burst AND value < 40)) AS garp,
+         event_type = 'click' AND value >= 150 AS forged
   FROM ev
 ),
 ev3 AS (
   SELECT *,
          CASE WHEN burst THEN '02:00:00:00:00:66' ELSE '02:00:00:00:00:' || lpad(CAST(s AS VARCHAR), 2, '0') END AS m_eth_src,
          CASE WHEN rep THEN '02:00:00:00:00:' || lpad(CAST(d AS VARCHAR), 2, '0') ELSE 'ff:ff:ff:ff:ff:ff' END AS m_eth_dst,
-         CASE WHEN spoof THEN '02:00:00:00:00:99' WHEN burst THEN '02:00:00:00:00:66'
+         CASE WHEN spoof OR forged THEN '02:00:00:00:00:99' WHEN burst THEN '02:00:00:00:00:66'
               ELSE '02:00:00:00:00:' || lpad(CAST(s AS VARCHAR), 2, '0') END AS m_arp_src_mac
   FROM ev2
 ),
 raw AS (
   SELECT
-    CAST(1704067200 AS DOUBLE) + CAST(event_id AS DOUBLE) / CAST(64 AS DOUBLE) AS epoch,
+    CASE WHEN event_id % 997 <> 500 THEN CAST(1704067200 AS DOUBLE) + CAST(event_id AS DOUBLE) / CAST(64 AS DOUBLE)
+      + CAST((event_id // 4000) * 90 AS DOUBLE) END AS epoch,
     CASE WHEN event_id % 7 = 0 THEN upper(m_eth_src) ELSE m_eth_src END AS r_eth_src,
     CASE WHEN event_id % 7 = 0 THEN upper(m_eth_dst) ELSE m_eth_dst END AS r_eth_dst,
-    CAST(CASE WHEN rep THEN 2 ELSE 1 END AS INTEGER) AS r_opcode,
-    CASE WHEN event_id % 7 = 0 THEN upper(m_arp_src_mac) ELSE m_arp_src_mac END AS r_arp_src_mac,
-    CASE WHEN probe THEN '0.0.0.0' WHEN spoof THEN '192.168.1.' || CAST(s % 8 + 1 AS VARCHAR)
+    CAST(CASE WHEN event_id % 211 = 5 THEN 3 WHEN event_id % 223 = 7 THEN NULL WHEN rep THEN 2 ELSE 1 END AS INTEGER) AS r_opcode,
+    CASE WHEN event_id % 227 = 13 THEN '00:00:00:00:00:00' WHEN event_id % 199 = 11 THEN NULL
+         WHEN event_id % 7 = 0 THEN upper(m_arp_src_mac) ELSE m_arp_src_mac END AS r_arp_src_mac,
+    CASE WHEN event_id % 197 = 3 THEN NULL WHEN probe THEN '0.0.0.0' WHEN spoof THEN '192.168.1.' || CAST(s % 8 + 1 AS VARCHAR)
          WHEN burst THEN '192.168.1.66' ELSE '192.168.1.' || CAST(s AS VARCHAR) END AS r_arp_src_ip,
     CASE WHEN event_id % 7 = 0 THEN upper(CASE WHEN rep THEN m_eth_dst ELSE '00:00:00:00:00:00' END)
          ELSE CASE WHEN rep THEN m_eth_dst ELSE '00:00:00:00:00:00' END END AS r_arp_dst_mac,
@@ -281,6 +284,13 @@ SELECT eth_src, count(*) AS reqs FROM pk WHERE is_request
 GROUP BY eth_src ORDER BY reqs DESC, eth_src ASC NULLS FIRST LIMIT 10"""
 
 
+def sql_window_top_talkers(k: int = 3, window: int = 60) -> str:
+    return f"""
+SELECT {ts('ws')} AS window_start, {ts(f'ws + {window}')} AS window_end, eth_src, packet_count, CAST(0 AS BIGINT) AS max_error
+FROM (SELECT ws, eth_src, count(*) AS packet_count, rank() OVER (PARTITION BY ws ORDER BY count(*) DESC) AS r
+      FROM {_tumbling('eth_src IS NOT NULL', window)} t GROUP BY ws, eth_src) WHERE r <= {k}"""
+
+
 _OPCODE_LABEL = "CASE WHEN opcode = 1 THEN 'Request' WHEN opcode = 2 THEN 'Reply' ELSE 'Other' END"
 
 
@@ -441,6 +451,41 @@ def sql_window_first_last(cfg=CFG) -> str:
 FROM {_tumbling('true', 10)} t GROUP BY ws, eth_src"""
 
 
+def sql_timeline_runs(cfg=CFG) -> str:
+    return f"""
+SELECT strftime({ts('sec')}, '%Y-%m-%d %H:%M:%S') AS second, seconds, packets, requests, replies, garps FROM (
+  SELECT sec, CAST(1 AS BIGINT) AS seconds, packets, requests, replies, garps FROM busy
+  UNION ALL
+  SELECT sec + 1, next - sec - 1, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  FROM (SELECT sec, lead(sec) OVER (ORDER BY sec) AS next FROM busy) WHERE next > sec + 1)"""
+
+
+_BUSY = """busy AS (SELECT sec, count(*) AS packets, count(*) FILTER (WHERE is_request) AS requests,
+  count(*) FILTER (WHERE is_reply) AS replies, count(*) FILTER (WHERE is_gratuitous) AS garps
+  FROM pk WHERE sec IS NOT NULL GROUP BY sec)"""
+
+#: Time ranges that ``stream_microbatch`` takes one by one.
+MICROBATCHES = 8
+
+
+def sql_microbatch(cfg=CFG) -> str:
+    """The alert table of each time range alone; packets without a time go with the first."""
+    one = "SELECT {i} AS batch_id, a.* FROM (WITH pk AS (SELECT * FROM whole WHERE part = {i}) {alerts}) a"
+    return "\nUNION ALL\n".join(one.format(i=i, alerts=sql_alerts(cfg)) for i in range(MICROBATCHES))
+
+
+def sql_alerts_json(cfg=CFG) -> str:
+    return f"""
+SELECT detector AS key, '{{"detector":"' || detector || '"'
+  || coalesce(',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.000Z"', '')
+  || coalesce(',"entity":"' || entity || '"', '') || ',"metric":' || metric || ',"detail":"' || detail || '"}}' AS value
+FROM ({sql_alerts(cfg)})"""
+
+
+_PARTS = f"""span AS (SELECT min(sec) AS lo, (max(sec) - min(sec) + {MICROBATCHES}) // {MICROBATCHES} AS step FROM pk),
+whole AS (SELECT pk.*, CAST(coalesce((sec - lo) // step, 0) AS INTEGER) AS part FROM pk, span)"""
+
+
 def _full(body: str, *ctes: str) -> str:
     return _with(*ctes) + body
 
@@ -455,6 +500,7 @@ ORACLES: dict[str, str] = {
     "src_malformed": _full(MALFORMED_SELECT),
     "src_csv_stream": ENRICHED,
     "archive_roundtrip": ENRICHED,
+    "archive_compacted": ENRICHED,
     "normalize_packets": ENRICHED,
     "normalize_event_time": _full("SELECT epoch_ts, event_ts FROM pk"),
     "normalize_gratuitous": _full("SELECT epoch_ts, gratuitous_raw, is_gratuitous FROM pk"),
@@ -481,13 +527,17 @@ ORACLES: dict[str, str] = {
     # traffic profile
     "traffic_timeline": _full(sql_traffic_timeline()),
     "top_talkers": _full(sql_top_talkers()),
+    "window_top_talkers": _full(sql_window_top_talkers()),
+    "stream_top_talkers": _full(sql_window_top_talkers()),
     "opcode_counts": _full(sql_opcode_counts()),
     "opcode_distribution": _full(sql_opcode_distribution()),
     "packet_totals": _full(sql_packet_totals()),
     "packet_rate": _full(sql_packet_rate()),
+    "timeline_runs": _full(sql_timeline_runs(), _BUSY),
     "top_requesters": _full(sql_top_requesters()),
     # reports
     "alerts_unified": _full(sql_alerts()),
+    "alerts_json": _full(sql_alerts_json()),
     "detection_summary": _full(sql_detection_summary(), _summary_cte()),
     "detection_status": _full(sql_detection_status(), _summary_cte()),
     "threat_score": _full(sql_threat_score(), _summary_cte()),
@@ -502,6 +552,14 @@ ORACLES: dict[str, str] = {
     "ip_inventory": _full(sql_ip_inventory()),
     "mac_features": _full(sql_mac_features()),
     "sql_conflict": _full(sql_conflict()),
+    "sql_function_scanning": _full(sql_scanning()),
+    "sql_function_flood": _full(sql_flood()),
+    "sql_function_garp": _full(sql_garp()),
+    "sql_function_conflict": _full(sql_conflict()),
+    "sql_function_mac_flipping": _full(sql_mac_flipping()),
+    # up to a few hundred values a sketch is exact
+    "scanning_approx": _full(sql_scanning()),
+    "stream_scanning_approx": _full(sql_scanning()),
     # streaming: the stateful stream gives the batch answer
     "sink_parquet_roundtrip": ENRICHED,
     "stream_scanning": _full(sql_scanning()),
@@ -514,6 +572,11 @@ ORACLES: dict[str, str] = {
     "stream_reply_mismatch": _full(sql_reply_mismatch()),
     "stream_unsolicited": _full(sql_unsolicited()),
     "stream_ip_mac_remap": _full(sql_ip_mac_remap()),
+    "stream_mac_flap": _full(sql_mac_flap()),
+    "stream_scanning_guarded": _full(sql_scanning()),
+    "stream_scanning_early": _full(sql_scanning()),
+    "stream_flood_early": _full(sql_flood()),
+    "stream_microbatch": _full(sql_microbatch(), _PARTS),
     "stream_alerts": _full(sql_alerts()),
 }
 ORACLES = {k: v for k, v in ORACLES.items() if v is not None}

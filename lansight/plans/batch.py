@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from lansight.config import DEFAULT, ArpConfig
 from lansight.operators import events, joins, rules, traffic
 from lansight.operators.windows import compile_batch_all
-from lansight.plans import report
+from lansight.plans import onepass, report
 
 
 def detections(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> dict[str, DataFrame]:
@@ -30,12 +30,13 @@ class BatchResult:
     packets: DataFrame
     detections: dict[str, DataFrame]
     alerts: DataFrame
+    cfg: ArpConfig = DEFAULT
 
     def summary(self) -> DataFrame:
-        return report.status_of(report.counts_of(self.detections))
+        return report.status_of(onepass.counts(self.packets, self.cfg))
 
-    def threat(self, cfg: ArpConfig = DEFAULT) -> DataFrame:
-        return report.score_of(report.counts_of(self.detections), cfg)
+    def threat(self, cfg: ArpConfig | None = None) -> DataFrame:
+        return report.score_of(onepass.counts(self.packets, self.cfg), cfg or self.cfg)
 
     def profile(self) -> dict[str, DataFrame]:
         return traffic.profile(self.packets)
@@ -48,4 +49,4 @@ def run_batch(packets: DataFrame, cfg: ArpConfig = DEFAULT, persist: bool = Fals
     if persist:
         packets = packets.persist(StorageLevel.MEMORY_AND_DISK)
     det = detections(packets, cfg)
-    return BatchResult(packets, det, report.alerts_unified(det))
+    return BatchResult(packets, det, onepass.alerts(packets, cfg), cfg)

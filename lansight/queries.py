@@ -18,13 +18,17 @@ from pyspark.sql import functions as F
 from lansight.config import DEFAULT
 from lansight.functions.normalize import enrich, gratuitous_flag, raw
 from lansight.operators import events, features, history, inventory, joins, rules, traffic
-from lansight.plans import batch, report, sql
+from lansight.operators.panes import compile_panes
+from lansight.operators.talkers import window_top_talkers
+from lansight.oracle import MICROBATCHES
+from lansight.plans import batch, onepass, report, sql, sql_functions
 from lansight.schema import ENRICHED_COLUMNS
 from lansight.session import at_boundary, scratch_path
 from lansight.sources import archive, csv, messages
 from lansight.sources.events_adapter import raw_packets
-from lansight.streaming.compile import (packet_stream, stream_alerts, stream_ip_mac_remap, stream_reply_mismatch,
-                                        stream_rule, stream_unsolicited)
+from lansight.streaming.compile import (packet_stream, stream_alerts, stream_ip_mac_remap, stream_mac_flap,
+                                        stream_reply_mismatch, stream_rule, stream_unsolicited)
+from lansight.streaming.early import stream_rule_early
 from lansight.streaming.runner import microbatch_alerts, replay, time_slices
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +46,13 @@ def _on_packets(op) -> QueryFn:
 
 def _on_alerts(op) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return at_boundary(op(batch.run_batch(packets(spark, sf_dir)).alerts))
+        return at_boundary(op(onepass.alerts(packets(spark, sf_dir))))
+    return run
+
+
+def _on_counts(op) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return at_boundary(op(onepass.counts(packets(spark, sf_dir))))
     return run
 
 
@@ -65,10 +75,10 @@ def q_src_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     the line is flagged.  Lines are rendered from the packets; every 13th packet
     gets an unparsable time, every 17th loses its last three fields."""
     from lansight.schema import CORRUPT_COLUMN, RAW_COLUMNS
-    from lansight.sources.events_adapter import BASE_EPOCH, PACKETS_PER_SECOND
+    from lansight.sources.events_adapter import packets_from_events, read_events
 
-    r = raw_packets(spark, sf_dir)
-    eid = F.round((raw("frame.time_epoch") - F.lit(float(BASE_EPOCH))) * PACKETS_PER_SECOND).cast("bigint")
+    r = packets_from_events(read_events(spark, sf_dir), keep_id=True)
+    eid = F.col("event_id")
     fields = [F.coalesce(raw(n).cast("string"), F.lit("")) for n in RAW_COLUMNS]
     bad_time = F.concat(F.lit("x"), fields[0])
     line = (F.when(eid % 13 == 0, F.concat_ws(",", bad_time, *fields[1:]))
@@ -96,10 +106,19 @@ def q_normalize_gratuitous(spark: SparkSession, sf_dir: str) -> DataFrame:
                     gratuitous_flag(raw("arp.isgratuitous")).alias("is_gratuitous"))
 
 
-def q_scanning_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lansight.operators.windows import compile_stream
-    # approx_count_distinct in place of the exact distinct (HyperLogLog++ sketches merge map-side)
-    return at_boundary(compile_stream(packets(spark, sf_dir), rules.scanning_rule(DEFAULT), approx_distinct=True))
+def q_archive_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of many small files, compacted by date."""
+    path = scratch_path(spark, "archive-compacted")
+    archive.write_archive(raw_packets(spark, sf_dir).repartition(12), path)
+    archive.compact_archive(spark, path)
+    return at_boundary(enrich(archive.read_archive(spark, path)))
+
+
+def _sql_function(name: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql_functions.register_functions(packets(spark, sf_dir))
+        return at_boundary(sql_functions.call(spark, name))
+    return run
 
 
 def q_sql_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +135,7 @@ QUERIES: dict[str, QueryFn] = {
     "src_json_decode": q_src_json_decode,
     "src_malformed": q_src_malformed,
     "archive_roundtrip": q_archive_roundtrip,
+    "archive_compacted": q_archive_compacted,
     "normalize_packets": _on_packets(lambda p: p),
     "normalize_event_time": _on_packets(lambda p: p.select("epoch_ts", "event_ts")),
     "normalize_gratuitous": q_normalize_gratuitous,
@@ -143,16 +163,18 @@ QUERIES: dict[str, QueryFn] = {
     # traffic profile
     "traffic_timeline": _on_packets(traffic.traffic_timeline),
     "top_talkers": _on_packets(traffic.top_talkers),
+    "window_top_talkers": _on_packets(lambda p: window_top_talkers(p, k=3)),
     "opcode_counts": _on_packets(traffic.opcode_counts),
     "opcode_distribution": _on_packets(traffic.opcode_distribution),
     "packet_totals": _on_packets(traffic.packet_totals),
     "packet_rate": _on_packets(traffic.packet_rate),
+    "timeline_runs": _on_packets(traffic.timeline_table),
     "top_requesters": _on_packets(traffic.top_requesters),
     # reports over all detectors
     "alerts_unified": _on_alerts(lambda a: a),
-    "detection_summary": _on_detections(lambda d: report.summary_of(report.counts_of(d))),
-    "detection_status": _on_detections(lambda d: report.status_of(report.counts_of(d))),
-    "threat_score": _on_detections(lambda d: report.score_of(report.counts_of(d))),
+    "detection_summary": _on_counts(report.summary_of),
+    "detection_status": _on_counts(report.status_of),
+    "threat_score": _on_counts(report.score_of),
     "spoofing_summary": _on_detections(report.spoofing_summary),
     "alerts_json": _on_alerts(report.alerts_json),
     # rules described in the reference's documents
@@ -165,8 +187,9 @@ QUERIES: dict[str, QueryFn] = {
     "ip_inventory": _on_packets(inventory.ip_inventory),
     "mac_features": _on_packets(features.mac_features),
     "mac_outliers": q_mac_outliers,
-    "scanning_approx": q_scanning_approx,
+    "scanning_approx": _on_packets(lambda p: compile_panes(p, rules.scanning_rule(DEFAULT))),
     "sql_conflict": q_sql_conflict,
+    **{f"sql_function_{n}": _sql_function(n) for n in ("scanning", "flood", "garp", "conflict", "mac_flipping")},
 }
 
 
@@ -199,16 +222,36 @@ def q_sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contiguous time ranges, each one micro-batch of as many files as its packets need."""
     root = scratch_path(spark, "stream-microbatch")
-    # contiguous, exact time ranges per file, like a rolling capture; one file per micro-batch
-    for part in time_slices(raw_packets(spark, sf_dir), 8):
-        csv.write_csv(part.coalesce(1), f"{root}/inbox")  # one file, so one micro-batch, per time range
-    q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=1),
-                          f"{root}/out", f"{root}/checkpoint")
-    q.awaitTermination()
+    for part in time_slices(raw_packets(spark, sf_dir), MICROBATCHES):
+        csv.write_csv(part, f"{root}/inbox")
+        q = microbatch_alerts(spark, csv.read_csv_stream(spark, f"{root}/inbox", DEFAULT, max_files_per_trigger=0),
+                              f"{root}/out", f"{root}/checkpoint")
+        q.awaitTermination()
     return at_boundary(spark.read.parquet(f"{root}/out"))
 
 
+def q_stream_scanning_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The capture with one packet dated 2099 in its first slice; the others' answer stays."""
+    whole = raw_packets(spark, sf_dir)
+    ahead = whole.where(raw("frame.time_epoch").isNotNull()).orderBy(raw("frame.time_epoch")).limit(1) \
+        .withColumn("frame.time_epoch", F.lit(4_070_908_800.0))
+    rule = rules.scanning_rule(DEFAULT)
+    out, _ = replay(spark, whole, lambda s: stream_rule(packet_stream(s), rule), "scanning-guarded", first=ahead,
+                    arrival=True)
+    return at_boundary(out)
+
+
+def _stream_early(rule_fn, keys) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rule = rule_fn(DEFAULT)
+        out, _ = replay(spark, raw_packets(spark, sf_dir), lambda s: stream_rule_early(packet_stream(s), rule),
+                        f"{rule.name}-early", upsert_keys=keys)
+        return at_boundary(out)
+    return run
+
+
 def _register_streaming() -> None:
     QUERIES.update({
         "src_csv_stream": q_src_csv_stream,
@@ -224,6 +267,13 @@ def _register_streaming() -> None:
         "stream_unsolicited": _stream_query("unsolicited", lambda s: stream_unsolicited(packet_stream(s))),
         "stream_microbatch": q_stream_microbatch,
         "stream_alerts": _stream_query("alerts", lambda s: stream_alerts(packet_stream(s)), slices=2),
+        "stream_mac_flap": _stream_query("mac-flap", lambda s: stream_mac_flap(packet_stream(s))),
+        "stream_scanning_approx": _stream_query(
+            "scanning-approx", lambda s: compile_panes(packet_stream(s), rules.scanning_rule(DEFAULT))),
+        "stream_top_talkers": _stream_query("top-talkers", lambda s: window_top_talkers(packet_stream(s), k=3)),
+        "stream_scanning_guarded": q_stream_scanning_guarded,
+        "stream_scanning_early": _stream_early(rules.scanning_rule, ("window_start", "window_end", "scanner_mac")),
+        "stream_flood_early": _stream_early(rules.flood_rule, ("second", "mac")),
         "stream_ip_mac_remap": _stream_query("ip-mac-remap", lambda s: stream_ip_mac_remap(packet_stream(s))),
     })
 
