@@ -41,6 +41,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row: inside a lambda of ``use`` it is a variable, where the
+    expression itself would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors, and gives
     the planner the true size."""

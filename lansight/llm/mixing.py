@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lansight.llm.common import WORD, count_words, materialize, text_of
+from lansight.llm.common import WORD, bound, count_words, materialize, text_of
 from lansight.session import scratch_path
 
 
@@ -172,11 +172,25 @@ class Mix:
     def mixed(self) -> DataFrame:
         """The mix: a row per slot and part of a document in its block, with the document's columns (the
         text is that part, white space after its words included), shard, slot and source rank."""
+        width, size, start = self.rules.block_words, F.col("size"), F.col("start")
         tokens = F.regexp_extract_all(F.coalesce("doc.text", F.lit("")), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-        part = F.array_join(F.slice(tokens, (F.col("seg_from") + 1).cast("int"), F.col("seg_words").cast("int")), "")
-        parts = self.segments().where(F.col("seg_words") > 0).select(
-            "rank", "block", "start", "seg_words",
-            F.struct(*[part.alias(c) if c == "text" else F.col(f"doc.`{c}`") for c in self.columns]).alias("doc"))
+        blocks = F.sequence(F.floor(start / width), F.floor((start + size - 1) / width))
+
+        def part(words: Column, block: Column) -> Column:
+            low = F.greatest(start, block * width) - start
+            n = F.least(start + size, block * width + width) - start - low
+            text = F.array_join(F.slice(words, (low + 1).cast("int"), n.cast("int")), "")
+            return F.struct(block.alias("block"), n.alias("seg_words"), text.alias("part"))
+
+        # a text falls apart into words once, whatever the number of its blocks, and only parts leave the row
+        rest = F.struct(F.col("rank").alias("_rank"), start.alias("_start"), *[F.col(f"doc.`{c}`") for c in self.columns if c != "text"])
+        rows = self.placed().where(size > 0).select(
+            rest.alias("rest"), bound(tokens, lambda words: F.transform(blocks, lambda x: part(words, x))).alias("parts")) \
+            .select("rest", F.explode("parts").alias("x"))
+        parts = rows.select(
+            F.col("rest._rank").alias("rank"), F.col("x.block").alias("block"), F.col("rest._start").alias("start"),
+            F.col("x.seg_words").alias("seg_words"),
+            F.struct(*[F.col("x.part").alias(c) if c == "text" else F.col(f"rest.`{c}`") for c in self.columns]).alias("doc"))
         return parts.join(self.slots(), ["rank", "block"]).select(
             "doc", F.struct("shard", "rank", "slot", "start", "seg_words").alias("mix"))
 
