@@ -70,7 +70,7 @@ def _tags(families: list[list[WindowRule]], width: int) -> Column:
             tags.append(tag(inside, f, start - back, lead.key, *v, [w.cast("int") for w in wheres]))
     mismatch = F.coalesce(c("is_reply") & c("has_mac_mismatch"), F.lit(False))
     tags.append(tag(mismatch, EVENTS, us, "eth_src", c("arp_src_mac"), c("arp_src_ip"), [F.lit(1)]))
-    return F.array_compact(F.array(*tags))
+    return F.array(*tags)
 
 
 def _groups(packets: DataFrame, families: list[list[WindowRule]]) -> DataFrame:
@@ -78,7 +78,7 @@ def _groups(packets: DataFrame, families: list[list[WindowRule]]) -> DataFrame:
     its distinct pairs of values p_i.  Packets that are alerts themselves have their values as e1, e2."""
     width = max(len(family) for family in families)
     per_rule = range(width)
-    level1 = packets.select(F.explode(_tags(families, width)).alias("t")).select("t.*") \
+    level1 = packets.select(F.explode(_tags(families, width)).alias("t")).where("t IS NOT NULL").select("t.*") \
         .groupBy("f", "w", "k", "v1", "v2").agg(*[F.sum(f"h{i}").alias(f"n{i}") for i in per_rule])
     event = c("f") == EVENTS
     two = c("f").isin(*[f for f, family in enumerate(families) if len(_family_dcols(family)) == 2])
