@@ -4,12 +4,13 @@ Base rules find e-mail addresses, IP addresses, payment cards and phone numbers
 check; their spans always stay.  High-recall generators propose further, overlapping spans
 (bracketed e-mails, loose digit groups, long numbers, dotted quads).  Boosted trees score
 candidates by format and context: sizes, digit groups, separators, neighbouring characters and
-words before.  The trees are fitted on candidates of a sample of documents.  Positive ones meet a base
+words before.  The trees are fitted on the candidates of all documents: those of equal features are counted
+once, and every level of a tree is one aggregate over the counts.  Positive ones meet a base
 span of their kind, or are base phone numbers with plus sign and country code masked; negative ones meet
 another kind's base span, fail their kind's check, or stand in code.  Other candidates tell nothing and
 are left out of the fit (the features leave out what the base checks test, such as the leading plus sign,
 the Luhn sum and the 255 limit).  Per kind the score threshold is the lowest that keeps ``precision`` on
-the half of the sample that the trees did not see.  Candidates above it that meet no base span, of a
+the half of the documents that the trees did not see.  Candidates above it that meet no base span, of a
 format that ``min_positive`` positives have, are added.  Trees become CASE expressions, so scoring is
 plain SQL.
 
@@ -24,14 +25,14 @@ by row; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lansight.llm.common import lower_ascii, text_of
+from lansight.llm.common import lower_ascii, materialize, text_of
+from lansight.session import scratch_path
 
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "struct<start:int,end:int,found:string>"
@@ -39,7 +40,6 @@ SPAN = "struct<start:int,end:int,found:string>"
 
 @dataclass(frozen=True)
 class PiiRules:
-    sample_docs: int = 20_000
     trees: int = 12
     shrinkage: float = 0.4
     min_positive: int = 10
@@ -205,33 +205,60 @@ def with_spans(docs: DataFrame, rules: PiiRules) -> DataFrame:
 
 # --- boosted trees ----------------------------------------------------------------------------
 
-def grow(x, grad, hess, depth: int):
-    """A regression tree on integer columns: nested (feature, limit, low branch, high branch) or a leaf value."""
-    import numpy as np
-
-    def leaf():
-        return float(-grad.sum() / (hess.sum() + 1.0))
-
-    if not depth:
-        return leaf()
-    best = (1e-3, None, None)
-    whole = grad.sum()**2 / (hess.sum() + 1.0)
-    for k in range(x.shape[1]):
-        for limit in np.unique(x[:, k])[:-1]:
-            low = x[:, k] <= limit
-            gain = sum(grad[m].sum()**2 / (hess[m].sum() + 1.0) for m in (low, ~low)) - whole
-            if gain > best[0]:
-                best = (gain, k, int(limit))
-    if best[1] is None:
-        return leaf()
-    low = x[:, best[1]] <= best[2]
-    return best[1], best[2], *(grow(x[m], grad[m], hess[m], depth - 1) for m in (low, ~low))
-
-
-def walk(tree, row) -> float:
-    while isinstance(tree, tuple):
-        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
-    return tree
+UNIT = 1 << 24  # fixed value: gradients are summed as whole numbers of this fraction, so in any order alike
+DEPTH = 3
+
+
+def place(splits: dict, path: str = "") -> Column:
+    """The node of a growing tree that a row falls into, as its path of l (low) and h (high)."""
+    if path not in splits:
+        return F.lit(path)
+    k, limit = splits[path]
+    return F.when(F.col(FEATURES[k]) <= limit, place(splits, path + "l")).otherwise(place(splits, path + "h"))
+
+
+def best_splits(rows: DataFrame, node: Column, depth: int) -> list:
+    """A row per node of that depth: its sums, and the feature and limit of largest gain (ties: the first
+    feature, the smallest limit) with the sums of the low side."""
+    cells = rows.withColumn("node", node).where(F.length("node") == depth).select(
+        "node", "g", "h", F.explode(F.array(*[
+            F.struct(F.lit(k).alias("k"), F.col(n).alias("value")) for k, n in enumerate(FEATURES)])).alias("x")) \
+        .groupBy("node", "x.k", "x.value").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    feature = Window.partitionBy("node", "k")
+    so_far = feature.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    real = lambda x: x / F.lit(float(UNIT))
+    sums = cells.select(
+        "node", "k", "value", real(F.sum("g").over(so_far)).alias("low_g"), real(F.sum("h").over(so_far)).alias("low_h"),
+        real(F.sum("g").over(feature)).alias("all_g"), real(F.sum("h").over(feature)).alias("all_h"),
+        (F.col("value") == F.max("value").over(feature)).alias("last"))
+    part = lambda g, h: g * g / (h + 1.0)
+    g, h, low_g, low_h = map(F.col, ("all_g", "all_h", "low_g", "low_h"))
+    gain = F.when(F.col("last"), F.lit(-1.0)).otherwise(part(low_g, low_h) + part(g - low_g, h - low_h) - part(g, h))
+    return sums.withColumn("gain", gain).groupBy("node").agg(F.max_by(
+        F.struct("gain", "k", "value", "low_g", "low_h", "all_g", "all_h"),
+        F.struct("gain", -F.col("k"), -F.col("value"))).alias("best")).select("node", "best.*").collect()  # at most 8 rows
+
+
+def grow(rows: DataFrame):
+    """A regression tree on integer columns, from rows with gradients ``g`` and ``h``: nested (feature, limit, low
+    branch, high branch) or a leaf value."""
+    splits, leaves = {}, {}
+    leaf = lambda g, h: float(-g / (h + 1.0))
+    for depth in range(DEPTH):
+        found = best_splits(rows, place(splits), depth)
+        for r in found:
+            leaves[r.node] = leaf(r.all_g, r.all_h)
+            if r.gain > 1e-3:
+                splits[r.node] = (r.k, int(r.value))
+                leaves[r.node + "l"] = leaf(r.low_g, r.low_h)
+                leaves[r.node + "h"] = leaf(r.all_g - r.low_g, r.all_h - r.low_h)
+        if not any(r.node in splits for r in found):
+            break
+
+    def nested(path: str):
+        return (*splits[path], nested(path + "l"), nested(path + "h")) if path in splits else leaves[path]
+
+    return nested("")
 
 
 def expression(tree, c: Column) -> Column:
@@ -240,52 +267,50 @@ def expression(tree, c: Column) -> Column:
     return F.when(c[FEATURES[tree[0]]] <= tree[1], expression(tree[2], c)).otherwise(expression(tree[3], c))
 
 
-def fit_trees(rows: list, rules: PiiRules):
-    """(trees, threshold per kind) from rows (features..., half, negatives, positives)."""
-    import numpy as np
+def margin(trees: list, c, rules: PiiRules) -> Column:
+    return reduce(lambda a, b: a + b, (rules.shrinkage * expression(t, c) for t in trees), F.lit(0.0))
+
 
-    if not rows:
+def fit_trees(cases, rules: PiiRules):
+    """(trees, threshold per kind) from a table (features..., half, negatives ``neg``, positives ``pos``), whose
+    sums come back, never its rows; no table or an empty one gives no trees."""
+    if not isinstance(cases, DataFrame) or cases.isEmpty():
         return [], [None] * len(KINDS)
-    table = np.array(sorted(tuple(r) for r in rows), dtype=np.int64)
-    x, half, neg, pos = table[:, :-3], table[:, -3], table[:, -2].astype(float), table[:, -1].astype(float)
-    fit = half == 0
-    margin, trees = np.zeros(len(x)), []
-    for _ in range(rules.trees if fit.any() else 0):
-        p = 1.0 / (1.0 + np.exp(-margin))
-        grad, hess = (neg + pos) * p - pos, (neg + pos) * p * (1 - p)
-        tree = grow(x[fit], grad[fit] * rules.shrinkage, hess[fit] * rules.shrinkage, 3)
-        trees.append(tree)
-        margin += rules.shrinkage * np.array([walk(tree, r) for r in x.tolist()])
-    limits = []
-    for k in range(len(KINDS)):
-        m = ~fit & (x[:, 0] == k)
-        chosen = None
-        for limit in sorted(set(np.round(margin[m], 9).tolist()), reverse=True):
-            above = m & (margin >= limit - 1e-9)
-            good = pos[above].sum()
-            if good < rules.precision * (good + neg[above].sum()):
-                break
-            if good >= rules.min_positive:
-                chosen = limit - 1e-6
-        limits.append(chosen)
-    return trees, limits
+    fit, trees, every = cases.where("half = 0"), [], F.col("neg") + F.col("pos")
+    columns = {n: F.col(n) for n in FEATURES}
+    for _ in range(0 if fit.isEmpty() else rules.trees):
+        p = 1.0 / (1.0 + F.exp(-margin(trees, columns, rules)))
+        whole = lambda x: F.round(x * (rules.shrinkage * UNIT)).cast("long")
+        trees.append(grow(fit.withColumn("p", p).select(
+            *FEATURES, whole(every * F.col("p") - F.col("pos")).alias("g"),
+            whole(every * F.col("p") * (1.0 - F.col("p"))).alias("h"))))
+    # per kind from the highest margin down, as long as the precision holds
+    down = Window.partitionBy("kind").orderBy(F.desc("margin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = cases.where("half <> 0").select("kind", F.round(margin(trees, columns, rules), 9).alias("margin"), "neg", "pos") \
+        .groupBy("kind", "margin").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")) \
+        .select("kind", "margin", F.sum("pos").over(down).alias("good"), F.sum("neg").over(down).alias("bad"))
+    short = F.col("good") < rules.precision * (F.col("good") + F.col("bad"))
+    chosen = held.withColumn("short", F.max(short).over(down)).where(~F.col("short") & (F.col("good") >= rules.min_positive)) \
+        .groupBy("kind").agg(F.min("margin").alias("margin")).collect()  # at most a row per kind
+    limits = {r.kind: r.margin - 1e-6 for r in chosen}
+    return trees, [limits.get(k) for k in range(len(KINDS))]
 
 
 def train(docs: DataFrame, rules: PiiRules):
-    """Trees, thresholds and the formats of positives, from the candidates of a sample of documents."""
-    every = max(1, docs.count() // rules.sample_docs)
-    pick = F.xxhash64("doc_id", "text")
-    sample = docs.select("doc_id", "text").where(F.pmod(pick, F.lit(every)) == 0)
-    cases = with_spans(sample, rules).select(
-        F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).alias("half"), F.explode(F.concat("candidates", "masked")).alias("x")) \
-        .where("x.label IS NOT NULL")
+    """Trees, thresholds and the formats of positives, from the candidates of all documents."""
+    cases = with_spans(docs, rules).select(
+        F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).alias("half"), F.explode(F.concat("candidates", "masked")).alias("x"))
     counted = cases.groupBy(*[F.col(f"x.c.{n}").alias(n) for n in FEATURES], "half").agg(
-        F.sum(1 - F.col("x.label")), F.sum("x.label"))
-    rows = counted.collect()  # at most one row per distinct candidate of the sample
-    seen = Counter()
-    for r in rows:
-        seen[tuple(r[FEATURES.index(n)] for n in FORMAT)] += r[-1]
-    return *fit_trees(rows, rules), sorted(f for f, n in seen.items() if n >= rules.min_positive)
+        F.sum(F.when(F.col("x.label") == 0, 1).otherwise(0)).alias("neg"),
+        F.sum(F.when(F.col("x.label") == 1, 1).otherwise(0)).alias("pos"),
+        F.sum((~F.col("x.positive")).cast("int")).alias("asking"))
+    spark = docs.sparkSession
+    counted = materialize(counted, scratch_path(spark, "pii-cases"))
+    trees, limits = fit_trees(counted.where("neg + pos > 0"), rules)
+    # only the formats that some candidate without a base span has decide anything
+    usual = counted.groupBy(*FORMAT).agg(F.sum("pos").alias("pos"), F.sum("asking").alias("asking")) \
+        .where((F.col("pos") >= rules.min_positive) & (F.col("asking") > 0)).select(*FORMAT)
+    return trees, limits, sorted(tuple(r) for r in usual.collect())
 
 
 def find_spans(docs: DataFrame, rules: PiiRules = PiiRules()) -> DataFrame:
@@ -296,7 +321,7 @@ def find_spans(docs: DataFrame, rules: PiiRules = PiiRules()) -> DataFrame:
     formats = [f for f in formats if limits[f[0]] is not None]
     if not trees or not formats:
         return found.select("doc_id", "text", "base", none.alias("added"))
-    score = lambda c: reduce(lambda a, b: a + b, (rules.shrinkage * expression(t, c) for t in trees))
+    score = lambda c: margin(trees, c, rules)
     limit = lambda c: reduce(
         lambda out, k: F.when(c["kind"] == k, F.lit(limits[k])).otherwise(out),
         [k for k in range(len(KINDS)) if limits[k] is not None], F.lit(float("inf")))
