@@ -33,14 +33,20 @@ EVENTS = -1  # family of the alerts that are packets themselves
 
 
 def _families(cfg: ArpConfig) -> list[list[WindowRule]]:
-    out: dict[tuple, list[WindowRule]] = {}
+    """Rules of one window and key, as long as they count at most two columns' distinct values."""
+    out: list[list[WindowRule]] = []
     for r in rules.standard_rules(cfg):
-        out.setdefault(_family_key(r), []).append(r)
-    return list(out.values())
+        home = next((f for f in out if _family_key(f[0]) == _family_key(r) and len(_family_dcols([*f, r])) <= 2), None)
+        if home is None:
+            out.append([r])
+        else:
+            home.append(r)
+    return out
 
 
-def _tags(families: list[list[WindowRule]], width: int) -> Column:
-    """Array of (f, w, k, v1, v2, h0..): one element per family and window that the packet counts in."""
+def _tags(families: list[list[WindowRule]], width: int, replies: bool = True) -> Column:
+    """Array of (f, w, k, v1, v2, h0..): one element per family and window that the packet counts in, and
+    with ``replies`` one for a forged reply."""
     us = F.unix_micros("event_ts")
     none, tags = F.lit(None).cast("string"), []
 
@@ -68,6 +74,8 @@ def _tags(families: list[list[WindowRule]], width: int) -> Column:
         for back in range(0, lead.size * 1_000_000, slide):
             inside = hit if back + slide <= lead.size * 1_000_000 else hit & (us < start - back + lead.size * 1_000_000)
             tags.append(tag(inside, f, start - back, lead.key, *v, [w.cast("int") for w in wheres]))
+    if not replies:
+        return F.array(*tags)
     mismatch = F.coalesce(c("is_reply") & c("has_mac_mismatch"), F.lit(False))
     tags.append(tag(mismatch, EVENTS, us, "eth_src", c("arp_src_mac"), c("arp_src_ip"), [F.lit(1)]))
     return F.array(*tags)
@@ -124,10 +132,9 @@ def _alert(name: str, ts: Column, entity: Column, metric: Column, detail: Column
                     metric.cast("bigint").alias("metric"), detail.alias("detail"))
 
 
-def window_and_reply_alerts(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
-    """The alerts of the seven window rules and of forged replies, from one read of the packets."""
-    families = _families(cfg)
-    out, ts = _groups(packets, families), F.timestamp_micros(c("w"))
+def _rule_alerts(out: DataFrame, families: list[list[WindowRule]]) -> tuple[DataFrame, list[str]]:
+    """The groups with a column for each rule, its alert or null, and these columns' names."""
+    ts = F.timestamp_micros(c("w"))
     columns, alerts = out.columns, []
     for f, family in enumerate(families):
         for i, rule in enumerate(family):
@@ -137,13 +144,50 @@ def window_and_reply_alerts(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> Dat
             alert = _alert(rule.name, ts, c("k"), c(metric), _detail(*detail))
             out = out.select(*columns, *alerts, F.when(mine, alert).alias(f"alert_{rule.name}"))
             alerts.append(f"alert_{rule.name}")
+    return out, alerts
+
+
+def window_and_reply_alerts(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
+    """The alerts of the seven window rules and of forged replies, from one read of the packets."""
+    families = _families(cfg)
+    out, alerts = _rule_alerts(_groups(packets, families), families)
     name = "spoof_reply_mismatch"
-    forged = _alert(name, ts, c("k"), F.lit(1), _detail(("claimed_mac", "e1"), ("claimed_ip", "e2")))
+    forged = _alert(name, F.timestamp_micros(c("w")), c("k"), F.lit(1), _detail(("claimed_mac", "e1"), ("claimed_ip", "e2")))
     repeated = F.when(c("f") == EVENTS, F.array_repeat(forged, c("n0").cast("int"))) \
         .otherwise(F.array_compact(F.array(*alerts)))
     return out.select(F.explode(repeated).alias("a")).select(*[f"a.{x}" for x in ALERT_COLUMNS])
 
 
+def _stream_groups(packets: DataFrame, families: list[list[WindowRule]]) -> DataFrame:
+    """``_groups`` of a stream, without forged replies: two chained stateful aggregates for all families.
+
+    The end of a tag's window takes over what marks the event time as watermarked, as ``F.window`` does, so
+    that a group is final, and a packet late, when the watermark has passed its own window."""
+    width = max(len(family) for family in families)
+    per_rule = range(width)
+    size = F.element_at(F.array(*[F.lit(family[0].size * 1_000_000).cast("long") for family in families]), c("f") + 1)
+    end = F.timestamp_micros(c("w") + size).alias("end", metadata=packets.schema["event_ts"].metadata)
+    level1 = packets.select(F.explode(_tags(families, width, replies=False)).alias("t")).where("t IS NOT NULL") \
+        .select("t.*").select("f", end, "k", "v1", "v2", *[f"h{i}" for i in per_rule]) \
+        .groupBy("f", "end", "k", "v1", "v2").agg(*[F.sum(f"h{i}").alias(f"n{i}") for i in per_rule])
+    # with one column of values each of them is one row of its group; only families with two need sets
+    two = c("f").isin(*[f for f, family in enumerate(families) if len(_family_dcols(family)) == 2])
+    counts = []
+    for i in per_rule:
+        hit = c(f"n{i}") > 0
+        counts += [F.sum(f"n{i}").alias(f"n{i}"), F.count(F.when(hit, 1)).alias(f"p_{i}"),
+                   (F.count(F.when(hit & ~two, c("v1"))) + F.size(F.collect_set(F.when(hit & two, c("v1"))))).alias(f"d1_{i}"),
+                   F.size(F.collect_set(F.when(hit & two, c("v2")))).alias(f"d2_{i}")]
+    return level1.groupBy("f", "end", "k").agg(*counts).withColumn("w", F.unix_micros("end") - size)
+
+
+def stream_window_alerts(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
+    """The alerts of the seven window rules on a stream, each as its window becomes final."""
+    families = _families(cfg)
+    out, alerts = _rule_alerts(_stream_groups(packets, families), families)
+    return out.select(F.explode(F.array_compact(F.array(*alerts))).alias("a")).select(*[f"a.{x}" for x in ALERT_COLUMNS])
+
+
 def unsolicited_alerts(packets: DataFrame, cfg: ArpConfig = DEFAULT) -> DataFrame:
     """The alerts of unanswered replies, from one read of the packets."""
     span = cfg.unsolicited_lookback
