@@ -23,7 +23,7 @@ from lansight.config import DEFAULT, ArpConfig
 from lansight.functions.timefn import clean_epoch_sql
 from lansight.plans import report
 from lansight.schema import RAW_SCHEMA
-from lansight.session import scratch_path
+from lansight.session import scratch_path, session_conf
 from lansight.sources import csv as csv_source
 from lansight.streaming.early import early_sink, latest
 from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noqa: F401  (re-exported)
@@ -33,6 +33,8 @@ from lansight.streaming.sinks import console_sink, file_sink, memory_sink  # noq
 MARKER_MAC = "02:00:00:00:ff:ff"
 MARKER_IP = "192.0.2.255"
 MARKER_GAP_SECONDS = 86_400
+#: A replay's packets per partition of state.
+PARTITION_PACKETS = 200_000
 
 
 def start_all(writers: dict[str, DataStreamWriter]) -> list[StreamingQuery]:
@@ -94,6 +96,14 @@ def drop_marker(df: DataFrame, last_epoch: float) -> DataFrame:
     return df.filter(cond)
 
 
+def state_partitions(spark: SparkSession, packets: int) -> int:
+    """Partitions for a replay's state: enough for its packets and for every core, at most the session's.
+    A partition of a stateful operator is loaded and committed in each micro-batch however little it holds,
+    and adaptive execution doesn't join those of a stream."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-packets // PARTITION_PACKETS)))
+
+
 @dataclass
 class Replay:
     inbox: str
@@ -114,7 +124,9 @@ def replay(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], Dat
     root = scratch_path(spark, f"stream-{name}")
     rp = Replay(f"{root}/inbox", f"{root}/out", f"{root}/checkpoint", 0)
     parts = time_slices(raw, slices)
-    hi = raw.agg(F.max(F.expr(clean_epoch_sql("`frame.time_epoch`"))).alias("hi")).first()["hi"] or 0.0
+    whole = raw.agg(F.max(F.expr(clean_epoch_sql("`frame.time_epoch`"))).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    hi = whole["hi"] or 0.0
+    state = {"spark.sql.shuffle.partitions": str(state_partitions(spark, whole["n"]))}
     if first is not None:
         parts[0] = parts[0].unionByName(first)
     parts.append(end_marker(spark, hi))
@@ -126,7 +138,8 @@ def replay(spark: SparkSession, raw: DataFrame, build: Callable[[DataFrame], Dat
             writer = early_sink(build(stream), rp.out, rp.checkpoint)
         else:
             writer = file_sink(build(stream), rp.out, rp.checkpoint, partition_by=partition_by)
-        q = writer.trigger(availableNow=True).start()
+        with session_conf(spark, state):  # the checkpoint keeps the first run's number
+            q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {name} failed: {q.exception()}")

@@ -1,7 +1,9 @@
-"""The live alert table keeps few states."""
+"""The live alert table keeps few states, in no more partitions than a replay's packets need."""
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from conftest import BASE, pkt
 
@@ -9,10 +11,10 @@ from lansight.config import DEFAULT
 from lansight.functions.normalize import enrich
 from lansight.plans import batch, report
 from lansight.schema import RAW_SCHEMA
-from lansight.session import scratch_path
+from lansight.session import scratch_path, session_conf
 from lansight.sources import csv
 from lansight.streaming import compile as sc
-from lansight.streaming.runner import replay
+from lansight.streaming.runner import replay, state_partitions
 from lansight.streaming.sinks import file_sink
 
 LOW = DEFAULT.with_(scan_unique_targets=2, flood_requests=2)
@@ -63,3 +65,15 @@ def test_late_packets_count_where_their_own_window_is_open(spark):
             file_sink(build(stream), f"{root}/out", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination()
         found[name] = _ordered(spark.read.parquet(f"{root}/out"))
     assert found["folded"] == found["each"] and len(found["each"]) > 50
+
+
+def test_a_replay_opens_no_more_state_than_its_packets_need(spark):
+    cores = spark.sparkContext.defaultParallelism
+    raw = spark.createDataFrame(_rows(BASE), RAW_SCHEMA)
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "40"}):
+        assert state_partitions(spark, 10) == cores and state_partitions(spark, 10_000_000_000) == 40
+        assert state_partitions(spark, 6_000_000) == 30
+        _, rp = replay(spark, raw, lambda s: sc.stream_mac_flap(sc.packet_stream(s)), "few", slices=2)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    opened = [x for x in os.listdir(f"{rp.checkpoint}/state/0") if x.isdigit()]
+    assert len(opened) == cores
