@@ -1,17 +1,20 @@
 """Exact top-k BM25 search over sharded inverted indexes with block-max pruning.
 
 Documents are dealt into shards of about ``shard_words`` words, equal rows apart; a task builds one
-shard's inverted index in memory that is bounded by the shard, and streams the queries through it.  All shards use
-the corpus's own document count, mean length and document frequencies, so a document's score does
-not depend on its shard and the shards' best ``k`` merge into the exact best ``k``.
+shard's inverted index in memory that is bounded by the shard, and streams the queries through it, one shard after the
+other.  All shards use the corpus's own document count, mean length and document frequencies, so a document's score
+does not depend on its shard and the shards' best ``k`` merge into the exact best ``k``.  A task remembers the best
+``k`` scores of each query over the shards it has done: a later shard starts from that threshold and returns only rows
+that reach it.
 
 In a shard, documents are ordered by their most frequent common words (texts of a language come
-together) and cut into blocks.  A term's postings know the largest impact per block.  Per query the
-block maxima of its terms add up to an upper bound for every block; blocks are scored from the
-highest bound down, and once ``k`` documents are known every block whose bound is under the
-``k``-th score is skipped: it can't hold a better document.  This block-at-a-time pruning stands in for
-block-max WAND: there are no posting cursors, pivots or skips inside a list.  Scores add in term order in double
-precision, so equal texts have equal scores in any shard.
+together) and cut into blocks.  The postings of a query's rarer terms are added up for each document.  The commonest
+terms have a dense row of impacts and their maximum per block: a block whose best rare sum plus its common terms' maxima
+stays under the query's threshold can't hold a better document and is skipped; in the others the common terms come from
+the product of a batch of queries with these rows.  This block-at-a-time pruning stands in for block-max WAND: there are
+no posting cursors, pivots or skips inside a list.  Sums up to here are in single precision and only choose: every
+document within their error of the ``k``-th is scored again, in term order and double precision, so equal texts have
+equal scores in any shard.  Of equal texts a shard keeps the ``k`` first by id; the others can't be among the best ``k``.
 
 A query is a whole text: its distinct words (A-Z lower-cased).  Score: sum over them of
 ``ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean))``.
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lansight.llm.common import Memo, materialize, ship
+from lansight.llm.common import materialize, ship
 from lansight.session import scratch_path
 
 ship(__name__)
@@ -41,9 +44,13 @@ class SearchRules:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    shard_words: int = 6_500_000
+    shard_words: int = 10_000_000
+    shard_docs: int = 60_000
     block_docs: int = 64
     first_blocks: int = 4
+    common_share: float = 1 / 10
+    dense_cells: int = 16_000_000
+    batch: int = 64
 
 
 def word_number(word: bytes) -> int:
@@ -53,11 +60,15 @@ def word_number(word: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def numbers(text: bytes | None, ids: Memo):
+def numbers(text: bytes | None):
+    """The words of a text as ``word_number`` numbers them (hashing a word costs less than remembering it)."""
+    from itertools import repeat
+
     import numpy as np
+    import xxhash
 
     words = (text or b"").lower().split()
-    return np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(11)), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
 def _statistics(batches):
@@ -65,12 +76,11 @@ def _statistics(batches):
     import numpy as np
     import pyarrow as pa
 
-    ids = Memo(word_number)
     schema = pa.schema([("term", pa.int64()), ("docs", pa.int64()), ("words", pa.int64())])
     for batch in batches:
         parts, docs, words = [], 0, 0
         for text in batch.column("text").to_pylist():
-            n = numbers(text, ids)
+            n = numbers(text)
             docs += 1
             words += len(n)
             parts.append(np.unique(n))
@@ -84,9 +94,8 @@ def _query_terms(batches):
     import numpy as np
     import pyarrow as pa
 
-    ids = Memo(word_number)
     for batch in batches:
-        terms = [np.unique(numbers(t, ids)) for t in batch.column("text").to_pylist()]
+        terms = [np.unique(numbers(t)) for t in batch.column("text").to_pylist()]
         at = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
         flat = np.concatenate(terms or [np.empty(0, np.int64)])
         yield pa.RecordBatch.from_arrays(
@@ -94,141 +103,247 @@ def _query_terms(batches):
             names=["query_id", "key", "term"])
 
 
-def _spread(starts, counts):
-    """The concatenated ranges starts[i] .. starts[i] + counts[i] - 1."""
+def _ranges(values, starts, ends):
+    """The concatenated values[starts[i]:ends[i]]."""
     import numpy as np
 
-    ends = np.cumsum(counts)
-    out = np.arange(ends[-1] if len(ends) else 0)
-    return out + np.repeat(starts - (ends - counts), counts)
+    return np.concatenate([values[a:b] for a, b in zip(starts.tolist(), ends.tolist())] or [values[:0]])
+
+
+#: Single precision sums of up to some 1,000 positive terms are within this share of the true sum.
+ERROR = 2e-4
 
 
 class Shard:
-    """An inverted index of some documents with block maxima."""
+    """An inverted index of some documents with block maxima; documents come in the order of their ids, nulls last."""
 
     def __init__(self, rules: SearchRules, mean: float):
-        self.rules, self.mean, self.ids = rules, mean, Memo(word_number, 200_000)
+        self.rules, self.mean = rules, mean
         self.doc_ids: list = []
+        self.sizes: list[int] = []
+        self.counts: list[int] = []
         self.terms: list = []
         self.tfs: list = []
-        self.sizes: list[int] = []
+        self.packed: list[tuple] = []
+        self.copies: dict[bytes, int] = {}
 
     def add(self, doc_id, text: bytes | None) -> None:
+        import hashlib
+
         import numpy as np
 
-        n = numbers(text, self.ids)
+        digest = hashlib.blake2b(text or b"", digest_size=16).digest()
+        copies = self.copies[digest] = self.copies.get(digest, 0) + 1
+        if copies > self.rules.k:
+            return
+        n = numbers(text)
+        if not len(n):
+            return
         term, tf = np.unique(n, return_counts=True)
         self.doc_ids.append(doc_id)
         self.terms.append(term)
         self.tfs.append(tf.astype(np.int32))
         self.sizes.append(len(n))
+        self.counts.append(len(term))
+        if len(self.terms) >= 1024:
+            self._pack()
+
+    def _pack(self) -> None:
+        import numpy as np
+
+        if self.terms:
+            self.packed.append((np.concatenate(self.terms), np.concatenate(self.tfs)))
+            self.terms, self.tfs = [], []
 
     def finish(self) -> None:
         import numpy as np
 
         rules = self.rules
-        counts = np.array([len(t) for t in self.terms], dtype=np.int64)
-        doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-        term = np.concatenate(self.terms or [np.empty(0, np.int64)])
-        self.terms = []
-        self.vocabulary, number = np.unique(term, return_inverse=True)
+        self.copies = {}
+        self._pack()
+        counts = np.array(self.counts, dtype=np.int64)
+        n_docs = len(counts)
+        self.start = np.concatenate([[0], np.cumsum(counts)])
+        term = np.concatenate([t for t, _ in self.packed] or [np.empty(0, np.int64)])
+        self.tf = np.concatenate([tf for _, tf in self.packed] or [np.empty(0, np.int32)])
+        self.packed = []
+        by_term = np.argsort(term)
+        term = term[by_term]
+        fresh = np.concatenate([[True], term[1:] != term[:-1]]) if len(term) else np.empty(0, bool)
+        self.vocabulary = term[fresh]
         del term
-        number = number.astype(np.int32)
-        tf = np.concatenate(self.tfs or [np.empty(0, np.int32)])
-        self.tfs = []
-        size = np.array(self.sizes, dtype=np.float64)
+        ordered = (np.cumsum(fresh, dtype=np.int32) - 1).astype(np.int32, copy=False)
+        self.number = number = np.empty(len(by_term), dtype=np.int32)
+        number[by_term] = ordered
+        self.size = size = np.array(self.sizes, dtype=np.float64)
+        df = np.bincount(number, minlength=len(self.vocabulary))
+        by_df = np.argsort(-df, kind="stable")
         # documents in the order of their two most frequent words among the shard's commonest, then of length
-        common = np.full(len(self.vocabulary), -1)
-        top = np.argsort(-np.bincount(number, minlength=len(self.vocabulary)), kind="stable")[:64]
+        common = np.full(len(self.vocabulary), -1, dtype=np.int32)
+        top = by_df[:64]
         common[top] = np.arange(len(top))
-        some = common[number] >= 0
-        share = np.zeros((len(counts), max(1, len(top))))
-        share[doc[some], common[number[some]]] = tf[some]
+        doc = np.repeat(np.arange(n_docs, dtype=np.int32), counts)
+        slot = common[number]
+        some = slot >= 0
+        share = np.zeros((n_docs, max(1, len(top))), dtype=np.float32)
+        share[doc[some], slot[some]] = self.tf[some]
         best = np.argsort(-share, axis=1, kind="stable")[:, :2]
-        order = np.lexsort((size, best[:, -1], best[:, 0]))
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        place = place.astype(np.int32)
-        self.order = order
-        impact = tf * (rules.k1 + 1) / (tf + rules.k1 * (1 - rules.b + rules.b * size[doc] / max(self.mean, 1e-9)))
-        del tf, some
+        self.order = order = np.lexsort((size, best[:, -1], best[:, 0]))
+        del share, best
+        place = np.empty(n_docs, dtype=np.int32)
+        place[order] = np.arange(n_docs, dtype=np.int32)
         doc = place[doc]
-        by = np.lexsort((doc, number))
-        number, self.doc, self.impact = number[by], doc[by], impact[by]
-        del by, doc, impact
-        block = self.doc // rules.block_docs
-        self.n_blocks = int(block.max()) + 1 if len(block) else 0
-        # runs of one term in one block
-        fresh = np.flatnonzero(np.concatenate([[True], (number[1:] != number[:-1]) | (block[1:] != block[:-1])])) \
-            if len(number) else np.empty(0, np.int64)
-        self.run_start = fresh
-        self.run_count = np.diff(np.concatenate([fresh, [len(number)]]))
-        self.run_block = block[fresh]
-        self.run_max = np.maximum.reduceat(self.impact, fresh) if len(fresh) else np.empty(0)
-        self.term_start = np.searchsorted(number[fresh], np.arange(len(self.vocabulary) + 1))
+        self.block_docs = max(1, min(rules.block_docs, n_docs))
+        self.n_blocks = -(-n_docs // self.block_docs)
+        self.places = self.n_blocks * self.block_docs
+        # the commonest terms: dense rows and their block maxima
+        n_dense = int(min(np.sum(df >= max(2, rules.common_share * n_docs)), rules.dense_cells // max(1, self.places),
+                          1000))
+        self.slot = np.full(len(self.vocabulary), -1, dtype=np.int32)
+        self.slot[by_df[:n_dense]] = np.arange(n_dense)
+        slot = self.slot[number]
+        dense = slot >= 0
+        self.rows = np.zeros((n_dense, self.places), dtype=np.float32)
+        self.rows[slot[dense], doc[dense]] = self._impact(self.tf[dense], size[order[doc[dense]]])
+        self.row_max = self.rows.reshape(n_dense, self.n_blocks, self.block_docs).max(axis=2) if n_docs \
+            else np.zeros((0, 0), np.float32)
+        # the other terms: postings
+        del slot, dense, some
+        rest = by_term[self.slot[ordered] < 0]
+        del by_term, ordered
+        self.doc = doc[rest]
+        self.impact = np.empty(len(rest), dtype=np.float32)
+        for c in range(0, len(rest), 500_000):  # in pieces: the double precision terms are several times as large
+            some = rest[c:c + 500_000]
+            self.impact[c:c + 500_000] = self._impact(self.tf[some], size[order[doc[some]]])
+        df[self.slot >= 0] = 0
+        self.term_start = np.concatenate([[0], np.cumsum(df)])
+        self.weight = np.zeros(len(self.vocabulary))  # of a query's terms while its documents are scored
+
+    def _impact(self, tf, size):
+        rules = self.rules
+        return tf * (rules.k1 + 1) / (tf + rules.k1 * (1 - rules.b + rules.b * size / max(self.mean, 1e-9)))
 
     def search(self, terms, idfs) -> list[tuple]:
         """The best ``k`` as (doc_id, score)."""
+        return self.search_all([(terms, idfs)], [0.0])[0]
+
+    def queries_at_once(self) -> int:
+        return max(1, min(self.rules.batch, 4_000_000 // max(1, self.places)))
+
+    def search_all(self, queries: list[tuple], thresholds: list[float]) -> list[list[tuple]]:
+        """For each query (terms in ascending order, idfs) its best ``k`` that reach its threshold."""
         import numpy as np
 
-        rules = self.rules
-        if not self.n_blocks or not len(terms):
-            return []
-        at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
-        there = self.vocabulary[at] == terms
-        at, idf = at[there], idfs[there]
-        if not len(at):
-            return []
-        n_runs = self.term_start[at + 1] - self.term_start[at]
-        runs = _spread(self.term_start[at], n_runs)
-        weight = np.repeat(idf, n_runs)
-        blocks = self.run_block[runs]
-        bound = np.bincount(blocks, weights=weight * self.run_max[runs], minlength=self.n_blocks) * (1 + 1e-9)
-        by_bound = np.argsort(-bound, kind="stable")
-        by_bound = by_bound[bound[by_bound] > 0]
-        total = np.zeros(0)
-        found = np.zeros(0, dtype=np.int64)
-        threshold, done, step = 0.0, 0, rules.first_blocks
-        while done < len(by_bound):
-            take = by_bound[done:done + step]
-            take = take[bound[take] >= threshold]
-            if not len(take):
-                break  # no block after these can hold a better document
-            chosen = np.zeros(self.n_blocks, dtype=bool)
-            chosen[take] = True
-            here = chosen[blocks]
-            r = runs[here]
-            postings = _spread(self.run_start[r], self.run_count[r])
-            score = np.bincount(self.doc[postings], weights=self.impact[postings] * np.repeat(
-                weight[here], self.run_count[r]), minlength=0)
-            doc = np.flatnonzero(score)
-            doc = doc[score[doc] >= threshold]
-            found, total = np.concatenate([found, doc]), np.concatenate([total, score[doc]])
-            if len(total) > rules.k:
-                threshold = np.partition(total, len(total) - rules.k)[len(total) - rules.k]
-                keep = total >= threshold  # ties with the k-th stay until ids decide
-                found, total = found[keep], total[keep]
-            elif len(total) == rules.k:
-                threshold = total.min()
-            done, step = done + step, step * 2
-        best = [(-s, self.doc_ids[self.order[d]]) for d, s in zip(found.tolist(), total.tolist())]
-        best.sort(key=lambda x: (x[0], x[1] is None, x[1] or 0))
-        return [(d, -s) for s, d in best[:rules.k]]
+        if not self.n_blocks:
+            return [[] for _ in queries]
+        weights = np.zeros((len(queries), len(self.rows)), dtype=np.float32)
+        score = np.zeros((len(queries), self.places), dtype=np.float32)
+        known = []
+        for i, (terms, idfs) in enumerate(queries):
+            at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
+            there = self.vocabulary[at] == terms
+            at, idf = at[there], idfs[there]
+            known.append((at, idf))
+            slot = self.slot[at]
+            weights[i, slot[slot >= 0]] = idf[slot >= 0]
+            at, idf = at[slot < 0], idf[slot < 0]
+            a, b = self.term_start[at], self.term_start[at + 1]
+            score[i] = np.bincount(_ranges(self.doc, a, b), weights=_ranges(self.impact, a, b) * np.repeat(
+                idf.astype(np.float32), b - a), minlength=self.places)
+        k = self.rules.k
+        least = np.array(thresholds)
+        bound = (score.reshape(len(queries), self.n_blocks, self.block_docs).max(axis=2) + weights @ self.row_max) \
+            * (1 + ERROR)
+        # what the blocks with the highest bounds reach is a threshold as well
+        first = np.argsort(-bound.max(axis=0))[:max(1, self.rules.first_blocks)]
+        self._add_common(score, weights, first)
+        rows = score.reshape(len(queries), self.n_blocks, self.block_docs)
+        tried = rows[:, first].reshape(len(queries), -1)
+        if tried.shape[1] >= k:
+            least = np.maximum(least, np.partition(tried, -k, axis=1)[:, -k] * (1 - ERROR))
+        left = (bound >= least[:, None]).any(axis=0)
+        left[first] = False
+        self._add_common(score, weights, np.flatnonzero(left))
+        found = []
+        for i, (at, idf) in enumerate(known):
+            some = np.flatnonzero(score[i] >= max(least[i] * (1 - ERROR), 1e-30))
+            if len(some) > k:  # whatever the k-th is, these are within the error of it
+                rough = score[i, some]
+                some = some[rough >= np.partition(rough, -k)[-k] * (1 - 2 * ERROR)]
+            found.append(self._exact(self.order[some], at, idf, thresholds[i]))
+        return found
+
+    def _add_common(self, score, weights, blocks) -> None:
+        """Add the common terms' part to the scores of some blocks."""
+        import numpy as np
+
+        if not len(blocks) or not len(self.rows):
+            return
+        blocks = np.sort(blocks)
+        cuts = np.flatnonzero(np.diff(blocks) > 1) + 1
+        for run in np.split(blocks, cuts):
+            a, b = run[0] * self.block_docs, (run[-1] + 1) * self.block_docs
+            score[:, a:b] += weights @ self.rows[:, a:b]
+
+    def _exact(self, docs, at, idf, threshold: float) -> list[tuple]:
+        import numpy as np
+
+        weight = self.weight
+        weight[at] = idf
+        best: list[tuple] = []
+        for c in range(0, len(docs), 4096):
+            some = docs[c:c + 4096]
+            a, b = self.start[some], self.start[some + 1]
+            w = weight[_ranges(self.number, a, b)]
+            met = np.flatnonzero(w)
+            owner = np.repeat(np.arange(len(some)), b - a)[met]
+            tf = _ranges(self.tf, a, b)[met]
+            total = np.bincount(owner, weights=self._impact(tf, self.size[some[owner]]) * w[met], minlength=len(some))
+            best += [(-s, self.doc_ids[d]) for d, s in zip(some.tolist(), total.tolist()) if s > 0 and s >= threshold]
+            best = sorted(best, key=lambda x: (x[0], x[1] is None, x[1] or 0))[:self.rules.k]
+        weight[at] = 0
+        return [(d, -s) for s, d in best]
 
 
 def _search_batches(rules: SearchRules, mean: float):
-    """Rows sorted by shard, documents before queries."""
+    """Rows sorted by shard, documents before queries, by id (nulls last)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         now, shard, ready = None, None, False
+        known: dict = {}  # query: its best scores so far, ascending
+        waiting: list[tuple] = []
+
+        def ask():
+            out = []
+            before = [known.get(w[:2]) for w in waiting]
+            least = [b[0] if b is not None and len(b) == rules.k else 0.0 for b in before]
+            for w, b, rows in zip(waiting, before, shard.search_all([w[2:] for w in waiting], least)):
+                out += [(w[0], w[1], d, score) for d, score in rows]
+                if rows:
+                    scores = np.array([score for _, score in rows])
+                    known[w[:2]] = np.sort(scores if b is None else np.concatenate([b, scores]))[-rules.k:]
+            waiting.clear()
+            return out
+
+        def table(found):
+            parts = list(zip(*found)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int64()), pa.array(parts[2], pa.int64()),
+                 pa.array(parts[3], pa.float64())], names=["query_id", "key", "doc_id", "score"])
+
         for batch in batches:
             found = []
-            cols = {c: batch.column(c) for c in ("shard", "is_query", "id", "key", "text", "terms", "idfs")}
-            names = [cols[c].to_pylist() for c in ("shard", "is_query", "id", "key", "text")]
-            for i, (s, is_query, doc_id, key, text) in enumerate(zip(*names)):
+            terms_of, idfs_of = batch.column("terms"), batch.column("idfs")
+            names = [batch.column(c) for c in ("shard", "is_query", "id", "key", "text")]
+            lines = (row for c in range(0, batch.num_rows, 500) for row in zip(*(n.slice(c, 500).to_pylist() for n in names)))
+            for i, (s, is_query, doc_id, key, text) in enumerate(lines):
                 if s != now:
+                    if waiting:
+                        found += ask()
+                    shard = None  # let go of the last one first
                     now, shard, ready = s, Shard(rules, mean), False
                 if not is_query:
                     shard.add(doc_id, text)
@@ -236,13 +351,14 @@ def _search_batches(rules: SearchRules, mean: float):
                 if not ready:
                     shard.finish()
                     ready = True
-                terms = np.asarray(cols["terms"][i].values)
-                idfs = np.asarray(cols["idfs"][i].values)
-                found += [(doc_id, key, d, score) for d, score in shard.search(terms, idfs)]
-            parts = list(zip(*found)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int64()), pa.array(parts[2], pa.int64()),
-                 pa.array(parts[3], pa.float64())], names=["query_id", "key", "doc_id", "score"])
+                terms = np.asarray(terms_of[i].values)
+                by = np.argsort(terms)
+                waiting.append((doc_id, key, terms[by], np.asarray(idfs_of[i].values)[by]))
+                if len(waiting) >= shard.queries_at_once():
+                    found += ask()
+            yield table(found)
+        if waiting:
+            yield table(ask())
     return run
 
 
@@ -265,11 +381,12 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
     df = F.col("docs")
     weighed = asked.join(stats.where("term IS NOT NULL").select("term", "docs"), "term") \
         .withColumn("idf", F.log(1 + (F.lit(float(n)) - df + 0.5) / (df + 0.5)))
-    pairs = F.array_sort(F.collect_list(F.struct("term", "idf")))
+    pairs = F.array_sort(F.collect_list(F.struct("idf", "term")))  # equal numbers together: they are sent to every shard
     ready = materialize(weighed.groupBy("query_id", "key").agg(pairs.alias("p"))
                         .select("query_id", "key", F.col("p.term").alias("terms"), F.col("p.idf").alias("idfs")),
                         f"{here}/queries")
-    shards = max(1, -(-words // rules.shard_words))
+    shards = max(1, -(-words // rules.shard_words), -(-n // rules.shard_docs))
+    tasks = min(shards, spark.sparkContext.defaultParallelism)
     absent = lambda kind: F.lit(None).cast(kind)
     # a number per row keeps equal rows from meeting in one shard; which one they meet in changes no score
     dealt = rows.withColumn("row", F.monotonically_increasing_id()).select(
@@ -279,9 +396,10 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
     asking = ready.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))) \
         .select("shard", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), "key",
                 absent("binary").alias("text"), "terms", "idfs")
-    shard_key = _even_keys(spark, shards)
-    best = dealt.unionByName(asking).withColumn("place", F.element_at(shard_key, (F.col("shard") + 1).cast("int"))) \
-        .repartition(shards, "place").sortWithinPartitions("shard", "is_query").drop("place") \
+    task_key = _even_keys(spark, tasks)
+    best = dealt.unionByName(asking) \
+        .withColumn("place", F.element_at(task_key, (F.col("shard") % tasks + 1).cast("int"))) \
+        .repartition(tasks, "place").sortWithinPartitions("shard", "is_query", F.asc_nulls_last("id")).drop("place") \
         .mapInArrow(_search_batches(rules, mean), "query_id long, key long, doc_id long, score double")
     order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rules.k) \
@@ -289,8 +407,8 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
 
 
 def _even_keys(spark, n: int) -> Column:
-    """For each shard a number that hash partitioning over ``n`` partitions sends to a partition of its own
-    (a literal of one small number per shard)."""
+    """For each task a number that hash partitioning over ``n`` partitions sends to a partition of its own
+    (a literal of one small number per task)."""
     rows = spark.range(0, 16 * n + 64).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")) \
         .agg(F.min("id").alias("id")).orderBy("p").collect()
     found = {r["p"]: r["id"] for r in rows}

@@ -69,6 +69,78 @@ def test_blocks_are_skipped_and_the_answer_stays():
     assert shard.n_blocks > 50
 
 
+def shard_rows(texts_by_shard, queries):
+    """A task's rows: of every shard its documents by id, then all queries."""
+    import pyarrow as pa
+
+    from lansight.llm.topk_search import numbers
+
+    schema = pa.schema([("shard", pa.int64()), ("is_query", pa.bool_()), ("id", pa.int64()), ("key", pa.int64()),
+                        ("text", pa.binary()), ("terms", pa.list_(pa.int64())), ("idfs", pa.list_(pa.float64()))])
+    out = []
+    for s, texts in enumerate(texts_by_shard):
+        out += [(s, False, i, None, t, None, None) for i, t in texts]
+        terms = [np.unique(numbers(t)).tolist() for t in queries]
+        out += [(s, True, q, q, None, t, [1.0 + (w % 7) / 10 for w in t]) for q, t in enumerate(terms)]
+    return [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[a:a + 90]), schema)], schema=schema)
+            for a in range(0, len(out), 90)]
+
+
+def best_rows(shards, queries, rules):
+    from lansight.llm.topk_search import _search_batches
+
+    made = [tuple(r.values()) for b in _search_batches(rules, 30.0)(shard_rows(shards, queries)) for r in b.to_pylist()]
+    best = defaultdict(list)
+    for q, _, d, score in made:
+        best[q].append((-score, d))
+    return len(made), {q: sorted(v)[:rules.k] for q, v in best.items()}
+
+
+def test_partial_results_do_not_grow_with_the_shards_of_a_task():
+    rules = SearchRules(k=5, block_docs=8)
+    texts = [prose(i, 30, 90).encode() for i in range(1200)]
+    random.Random(2).shuffle(texts)
+    docs_in = list(enumerate(texts))
+    queries = texts[:12]
+    one = best_rows([docs_in], queries, rules)
+    many = best_rows([sorted(docs_in[s::40]) for s in range(40)], queries, rules)
+    assert many[1] == one[1] and len(one[1]) == 12
+    assert one[0] == 60 and many[0] < 0.3 * 12 * 40 * rules.k  # a shard returns what reaches the threshold so far
+
+
+def test_a_shard_keeps_the_first_of_equal_texts():
+    from lansight.llm.topk_search import Shard, numbers
+
+    rules = SearchRules(k=4)
+    shard = Shard(rules, 20.0)
+    for i in [*range(500), None]:
+        shard.add(i, b"one two three" if i is None or i % 5 else f"one w{i} two".encode())
+    shard.finish()
+    assert len(shard.doc_ids) == 100 + 4
+    got = shard.search(np.unique(numbers(b"one two three")), np.ones(3))
+    assert [d for d, _ in got] == [1, 2, 3, 4] and len({s for _, s in got}) == 1
+
+
+def test_near_ties_are_settled_in_double_precision():
+    from lansight.llm.topk_search import Shard, numbers
+
+    rnd = random.Random(9)
+    rules = SearchRules(k=6, block_docs=4, first_blocks=1)
+    words = [f"v{i}" for i in range(400)]
+    terms = np.unique(numbers(" ".join(words).encode()))
+    idfs = np.array([1 + rnd.random() * 1e-7 for _ in terms])  # sums differ in the eighth digit only
+    texts = [" ".join(rnd.sample(words, 60)).encode() for _ in range(300)]
+    shard = Shard(rules, 60.0)
+    for i, t in enumerate(texts):
+        shard.add(i, t)
+    shard.finish()
+    of, want = dict(zip(terms.tolist(), idfs.tolist())), []
+    for i, t in enumerate(texts):
+        want.append((-sum(of[w] * 2.2 / (1 + 1.2) for w in np.unique(numbers(t)).tolist()), i))
+    got = shard.search(terms, idfs)
+    assert [d for d, _ in got] == [i for _, i in sorted(want)[:6]]
+
+
 def test_search_on_an_empty_table(docs):
     assert op1_topk_search(docs([])).collect() == []
 
