@@ -44,7 +44,7 @@ class SearchRules:
     k: int = 10
     k1: float = 1.2
     b: float = 0.75
-    shard_words: int = 10_000_000
+    shard_words: int = 8_000_000
     shard_docs: int = 60_000
     block_docs: int = 64
     first_blocks: int = 4
@@ -167,7 +167,7 @@ class Shard:
         term = np.concatenate([t for t, _ in self.packed] or [np.empty(0, np.int64)])
         self.tf = np.concatenate([tf for _, tf in self.packed] or [np.empty(0, np.int32)])
         self.packed = []
-        by_term = np.argsort(term)
+        by_term = np.argsort(term).astype(np.int32)
         term = term[by_term]
         fresh = np.concatenate([[True], term[1:] != term[:-1]]) if len(term) else np.empty(0, bool)
         self.vocabulary = term[fresh]
@@ -183,13 +183,12 @@ class Shard:
         top = by_df[:64]
         common[top] = np.arange(len(top))
         doc = np.repeat(np.arange(n_docs, dtype=np.int32), counts)
-        slot = common[number]
-        some = slot >= 0
+        some = np.flatnonzero((common >= 0)[number])
         share = np.zeros((n_docs, max(1, len(top))), dtype=np.float32)
-        share[doc[some], slot[some]] = self.tf[some]
+        share[doc[some], common[number[some]]] = self.tf[some]
         best = np.argsort(-share, axis=1, kind="stable")[:, :2]
         self.order = order = np.lexsort((size, best[:, -1], best[:, 0]))
-        del share, best
+        del share, best, some
         place = np.empty(n_docs, dtype=np.int32)
         place[order] = np.arange(n_docs, dtype=np.int32)
         doc = place[doc]
@@ -201,15 +200,14 @@ class Shard:
                           1000))
         self.slot = np.full(len(self.vocabulary), -1, dtype=np.int32)
         self.slot[by_df[:n_dense]] = np.arange(n_dense)
-        slot = self.slot[number]
-        dense = slot >= 0
+        dense = np.flatnonzero((self.slot >= 0)[number])
         self.rows = np.zeros((n_dense, self.places), dtype=np.float32)
-        self.rows[slot[dense], doc[dense]] = self._impact(self.tf[dense], size[order[doc[dense]]])
+        self.rows[self.slot[number[dense]], doc[dense]] = self._impact(self.tf[dense], size[order[doc[dense]]])
         self.row_max = self.rows.reshape(n_dense, self.n_blocks, self.block_docs).max(axis=2) if n_docs \
             else np.zeros((0, 0), np.float32)
         # the other terms: postings
-        del slot, dense, some
-        rest = by_term[self.slot[ordered] < 0]
+        del dense
+        rest = by_term[(self.slot < 0)[ordered]]
         del by_term, ordered
         self.doc = doc[rest]
         self.impact = np.empty(len(rest), dtype=np.float32)
