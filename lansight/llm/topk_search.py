@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lansight.llm.common import MASK64, materialize, mix64, ship
-from lansight.session import scratch_path
+from lansight.session import scratch_path, session_conf
 
 ship(__name__)
 
@@ -597,6 +597,7 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
                         f"{here}/queries")
     shards = max(1, -(-words // rules.shard_words), -(-n // rules.shard_docs))
     tasks = min(shards, spark.sparkContext.defaultParallelism)
+    shards = -(-shards // tasks) * tasks  # as many for each task
     absent = lambda kind: F.lit(None).cast(kind)
     # a number per row keeps equal rows from meeting in one shard; which one they meet in changes no score
     dealt = rows.withColumn("row", F.monotonically_increasing_id()).select(
@@ -613,6 +614,9 @@ def search(docs: DataFrame, queries: DataFrame, rules: SearchRules = SearchRules
         .repartition(tasks, "place") \
         .sortWithinPartitions("shard", "is_query", F.slice("terms", 1, 2), F.asc_nulls_last("id")).drop("place") \
         .mapInArrow(_search_batches(rules, mean), "query_id long, key long, doc_id long, score double")
+    # whole texts and whole queries: in batches of the usual 10,000 rows they take up some 100 MB of memory a task, twice
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+        best = materialize(best, f"{here}/found")
     order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rules.k) \
         .select("query_id", "rank", "doc_id", "score")
